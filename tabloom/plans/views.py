@@ -147,6 +147,24 @@ FROM {{events}}
 """
 
 
+# One model descriptor per event, some without version, model or readable maps.
+DESCRIPTORS = """
+SELECT
+  event_id,
+  '{{"schema_version":' || CASE WHEN event_id % 31 = 0 THEN '2' ELSE '1' END || ',"model":' ||
+  CASE WHEN event_id % 37 = 0 THEN '"none"' ELSE
+    '{{' || CASE WHEN event_id % 41 = 0 THEN '' ELSE '"model_uri":"models:/m' || CAST(user_id AS string) || '",' END ||
+    '"model_version":"' || CAST(event_id % 9 AS string) || '","trial":' ||
+    CASE WHEN event_id % 43 = 0 THEN '"first"' WHEN event_id % 47 = 0 THEN 'null'
+         ELSE '"' || CAST(event_id AS string) || '"' END ||
+    CASE WHEN event_id % 53 = 0 THEN ',"parameters":[1]'
+         ELSE ',"parameters":{{"c":"' || event_type || '"}}' END ||
+    ',"test_metrics":{{"auc":0.' || lpad(CAST(event_id % 1000 AS string), 3, '0') || '}}}}' END ||
+  '}}' AS body
+FROM {events}
+"""
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
