@@ -69,77 +69,85 @@ def _reasons(rules: Sequence[Column]) -> Column:
 def check_requests(df: DataFrame, contract: RequestContract) -> DataFrame:
     """Typed requests: clean every field and list its broken rules in ``reasons``."""
     require_columns(df, contract.names)
-    cleaned = df.select(
-        *[name for name in df.columns if name not in contract.names],
-        *[
-            F.col(field.name) if field.kind == "double" else clean_text(F.col(field.name)).alias(field.name)
-            for field in contract.fields
-        ],
-    )
+    values = [
+        F.col(field.name) if field.kind == "double" else clean_text(F.col(field.name)).alias(field.name)
+        for field in contract.fields
+    ]
+    cleaned = df.select(*[name for name in df.columns if name not in contract.names], _once(values))
     rules = [rule for field in contract.fields for rule in _value_reasons(contract, field, F.col(field.name))]
     return cleaned.withColumn(REASONS, _reasons(rules))
 
 
+def _once(columns: Sequence[Column]) -> Column:
+    """Compute columns once per row, as a generator of one row.
+
+    A filter on results of the next steps is not pushed below a generator, so
+    it cannot copy the parsing into every place that reads a field.
+    """
+    return F.inline(F.array(F.struct(*columns)))
+
+
 def parse_requests(df: DataFrame, payload: str, contract: RequestContract) -> DataFrame:
     """JSON requests: typed fields and the broken rules in ``reasons``.
 
     Types are strict: a number must be a JSON number and a category a JSON
     string or null.  Unknown and missing fields are named.
     """
-    # Each payload is parsed once; fields are read from the parsed variant.
-    parsed = df.withColumn("__body", F.try_parse_json(payload)).withColumn(
-        "__keys", F.json_object_keys(F.col(payload))
-    )
-    is_object = F.col("__keys").isNotNull() & F.col("__body").isNotNull()
-    items = {
-        field.name: F.try_variant_get(F.col("__body"), f"$.{field.name}", "variant")
-        for field in contract.fields
-    }
-    typed = parsed.select(
-        *df.columns,
-        "__keys",
-        is_object.alias("__object"),
-        *[item.isNull().alias(f"__absent_{name}") for name, item in items.items()],
-        *[F.schema_of_variant(item).alias(f"__kind_{name}") for name, item in items.items()],
-        *[
-            F.try_variant_get(
-                F.col("__body"), f"$.{field.name}", "double" if field.kind == "double" else "string"
-            ).alias(f"__value_{field.name}")
-            for field in contract.fields
-        ],
+    others = list(df.columns)
+    body = F.col("__body")
+    parsed = df.withColumn("__body", F.try_parse_json(payload))
+    read = parsed.select(
+        *others,
+        _once(
+            [
+                F.json_object_keys(F.col(payload)).alias("__keys"),
+                body.isNotNull().alias("__valid"),
+                *[
+                    F.schema_of_variant(F.try_variant_get(body, f"$.{name}", "variant")).alias(f"__kind_{name}")
+                    for name in contract.names
+                ],
+                *[
+                    F.try_variant_get(
+                        body, f"$.{field.name}", "double" if field.kind == "double" else "string"
+                    ).alias(f"__value_{field.name}")
+                    for field in contract.fields
+                ],
+            ]
+        ),
     )
-    fields: list[Column] = []
-    well_typed: dict[str, Column] = {}
+    values: list[Column] = []
     for field in contract.fields:
         kind, value = F.col(f"__kind_{field.name}"), F.col(f"__value_{field.name}")
         if field.kind == "double":
-            good = kind.rlike(NUMERIC_KINDS) | (kind == "VOID")
-            cleaned = F.when(kind.rlike(NUMERIC_KINDS), value)
+            good = kind.rlike(NUMERIC_KINDS)
+            cleaned = F.when(good, value)
         else:
-            good = kind.isin("STRING", "VOID")
-            cleaned = F.when(kind == "STRING", clean_text(value))
-        well_typed[field.name] = good
-        fields.append(cleaned.alias(field.name))
-    flat = typed.select(
-        "*", *fields, *[good.alias(f"__typed_{name}") for name, good in well_typed.items()]
-    )
+            good = kind == "STRING"
+            cleaned = F.when(good, clean_text(value))
+        values += [cleaned.alias(field.name), (good | (kind == "VOID")).alias(f"__typed_{field.name}")]
+    kinds = [f"__kind_{name}" for name in contract.names]
+    flat = read.select(*others, "__keys", "__valid", *kinds, _once(values))
 
     known = F.array(*[F.lit(name) for name in contract.names])
-    unknown = F.transform(
-        F.array_except("__keys", known), lambda name: F.concat(name, F.lit(":unknown"))
-    )
+    unknown = F.transform(F.array_except("__keys", known), lambda name: F.concat(name, F.lit(":unknown")))
     rules: list[Column] = []
     for field in contract.fields:
         name = field.name
-        absent, typed_well = F.col(f"__absent_{name}"), F.col(f"__typed_{name}")
-        rules.append(F.when(absent, F.lit(f"{name}:missing")))
-        rules.append(F.when(~absent & ~typed_well, F.lit(f"{name}:type")))
-        rules += [
-            F.when(~absent & typed_well, rule) for rule in _value_reasons(contract, field, F.col(name))
-        ]
-    listed = F.array_sort(F.concat(F.array_compact(F.array(*rules)), F.coalesce(unknown, F.array())))
-    reasons = F.when(F.col("__object"), listed).otherwise(F.array(F.lit("body:not_an_object")))
-    return flat.select(*df.columns, *contract.names, reasons.alias(REASONS))
+        given, typed = F.col(f"__kind_{name}").isNotNull(), F.col(f"__typed_{name}")
+        rules.append(F.when(~given, F.lit(f"{name}:missing")))
+        rules.append(F.when(given & ~typed, F.lit(f"{name}:type")))
+        # The type rule already covers a value that could not be read.
+        rules += [F.when(given & typed, rule) for rule in _value_reasons(contract, field, F.col(name))]
+    listed = F.array_sort(F.concat(F.array_compact(F.array(*rules)), unknown))
+    is_object = F.col("__valid") & F.col("__keys").isNotNull()
+    reasons = F.when(is_object, listed).otherwise(F.array(F.lit("body:not_an_object")))
+    return flat.select(*others, *contract.names, reasons.alias(REASONS))
+
+
+def checked_requests(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Accepted and rejected requests, from rules that are evaluated once."""
+    written = materialize(checked, "checked")
+    return accepted(written), rejected(written)
 
 
 def accepted(checked: DataFrame) -> DataFrame:

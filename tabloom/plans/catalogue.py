@@ -17,7 +17,7 @@ from tabloom.operators.prefix import global_rank
 from tabloom.plans import modeling, views
 from tabloom.scratch import materialize, scratch_path
 from tabloom.sources import csv, manifests, registry, tables
-from tabloom.streaming.scoring import read_batches, score_stream
+from tabloom.streaming.scoring import read_batches, score_stream, stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -564,7 +564,7 @@ def score_sanity(spark: SparkSession, folder: str) -> DataFrame:
 
 def score_batch(spark: SparkSession, folder: str) -> DataFrame:
     checked = scoring.parse_requests(views.requests(spark, folder), "payload", REQUEST)
-    good = _keyed(scoring.accepted(checked))
+    good = _keyed(scoring.checked_requests(checked)[0])
     ranked = scoring.score_batch(good, _formula_model(), "request_id", "input_index")
     return rounded(
         ranked.select("request_id", "input_index", "p", "complement", "priority_rank"), "p", "complement"
@@ -572,9 +572,7 @@ def score_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_score(spark: SparkSession, folder: str) -> DataFrame:
-    schema = views.table(spark, folder, "events").schema
-    events = spark.readStream.schema(schema).parquet(f"{folder}/events.parquet")
-    requests = _keyed(spark.sql(views.REQUESTS, events=events))
+    requests = _keyed(spark.sql(views.REQUESTS, events=stream_table(spark, folder, "events")))
     target, bad = scratch_path(spark, "scored"), scratch_path(spark, "rejected")
     query = score_stream(
         requests,

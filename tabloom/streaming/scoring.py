@@ -9,10 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tabloom.operators.scoring import (
-    accepted,
     bounded_requests,
+    checked_requests,
     priority_rank,
-    rejected,
     require_sane_scores,
     score_rows,
 )
@@ -37,9 +36,9 @@ def score_stream(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        checked = materialize(check(batch), "batch")
-        rejected(checked).write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
-        bounded = materialize(bounded_requests(accepted(checked), request), "bounded")
+        good, bad = checked_requests(check(batch))
+        bad.write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
+        bounded = materialize(bounded_requests(good, request), "bounded")
         scored = priority_rank(score_rows(bounded, model), request, "p", input_index)
         target = f"{scored_path}/batch={batch_id}"
         scored.write.mode("overwrite").parquet(target)
@@ -54,6 +53,17 @@ def score_stream(
     )
 
 
+def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """Stream of the Parquet files of one table below ``folder``."""
+    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
+    return (
+        spark.readStream.schema(schema)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .parquet(f"{folder}/{name}.parquet*")
+    )
+
+
 def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All micro-batches written by ``score_stream``."""
     return spark.read.schema(schema).parquet(f"{path}/batch=*").drop("batch")
