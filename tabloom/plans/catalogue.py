@@ -100,13 +100,14 @@ def _document_manifest(documents: DataFrame) -> DataFrame:
 
 
 def manifest_diff(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored manifests against the documents: some rewritten, some without a source entry."""
+    """Stored manifests that differ: rewritten texts, lost source entries and added notes."""
     documents = views.table(spark, folder, "documents")
     expected = _document_manifest(documents)
     changed = documents.withColumn(
         "text", F.when(F.col("doc_id") % 50 == 0, F.upper("text")).otherwise(F.col("text"))
     )
-    stored = _document_manifest(changed).where(~((F.col("key") == "source") & (F.col("value") == "web")))
+    key = F.when(F.col("value") == "src5", F.lit("note")).otherwise(F.col("key"))
+    stored = _document_manifest(changed).where(F.col("value") != "src3").withColumn("key", key)
     return manifests.manifest_diff(expected, stored, ["doc_id", "key"])
 
 
@@ -250,7 +251,7 @@ def _development(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
 
 def median_impute(spark: SparkSession, folder: str) -> DataFrame:
     people, development = _development(spark, folder)
-    fit = features.fit_numeric(features.fit_counts(development, PEOPLE), PEOPLE.numeric)
+    fit = features.fit_numeric(features.fit_counts(development, PEOPLE, categorical=[]), PEOPLE.numeric)
     name = PEOPLE.numeric[0]
     return rounded(
         people.select(ID, fit[name].imputed(name).alias(name), fit[name].missing(name).alias("missing")), name
@@ -259,18 +260,14 @@ def median_impute(spark: SparkSession, folder: str) -> DataFrame:
 
 def standard_scale(spark: SparkSession, folder: str) -> DataFrame:
     people, development = _development(spark, folder)
-    fit = features.fit_numeric(features.fit_counts(development, PEOPLE), PEOPLE.numeric)
+    fit = features.fit_numeric(features.fit_counts(development, PEOPLE, categorical=[]), PEOPLE.numeric)
     name = PEOPLE.numeric[0]
     return rounded(people.select(ID, fit[name].scaled(name).alias(name)), name)
 
 
 def document_scale(spark: SparkSession, folder: str) -> DataFrame:
     documents = views.table(spark, folder, "documents")
-    counts = features.FitCounts(
-        features.category_counts(documents, ["lang"]),
-        features.value_counts(documents, ["n_chars"]),
-        {0: documents.count()},
-    )
+    counts = features.FitCounts(None, features.value_counts(documents, ["n_chars"]))
     fit = features.fit_numeric(counts, ["n_chars"])["n_chars"]
     return rounded(documents.select("doc_id", fit.scaled("n_chars").alias("scaled")), "scaled").withColumn(
         "median", F.lit(fit.median)
@@ -279,13 +276,17 @@ def document_scale(spark: SparkSession, folder: str) -> DataFrame:
 
 def mode_impute(spark: SparkSession, folder: str) -> DataFrame:
     people, development = _development(spark, folder)
-    fits = features.fit_ordinal(features.fit_counts(development, PEOPLE), PEOPLE.ordinal)
+    fits = features.fit_ordinal(
+        features.fit_counts(development, PEOPLE, categorical=list(PEOPLE.ordinal), numeric=[]), PEOPLE.ordinal
+    )
     return people.select(ID, *[fit.imputed(name).alias(name) for name, fit in fits.items()])
 
 
 def ordinal_encode(spark: SparkSession, folder: str) -> DataFrame:
     people, development = _development(spark, folder)
-    fits = features.fit_ordinal(features.fit_counts(development, PEOPLE), PEOPLE.ordinal)
+    fits = features.fit_ordinal(
+        features.fit_counts(development, PEOPLE, categorical=list(PEOPLE.ordinal), numeric=[]), PEOPLE.ordinal
+    )
     coded = people.select(
         ID,
         *[fit.code(name).alias(name) for name, fit in fits.items()],
