@@ -20,7 +20,7 @@ from tabloom.operators.learners import (
 )
 from tabloom.operators.ranking import classification_metrics, f2_threshold, ranking_metrics, score_curve
 from tabloom.operators.split import stratified_folds
-from tabloom.scratch import materialize
+from tabloom.scratch import materialize, spread
 
 TRAIN, VALIDATION = "train", "validation"
 
@@ -208,7 +208,7 @@ def pipeline_scorer(
             weight = "weight"
         encoder = encoder_pipeline(fit_encoder(counts.without(number), contract, config), folded)
         estimator = build_estimator(params, rows, seed, label=label, weight=weight)
-        model = estimator.fit(encoder.transform(train))
+        model = estimator.fit(encoder.transform(spread(train)))
         scored = model.transform(encoder.transform(folded))
         return scored.withColumn("p", positive_probability())
 

@@ -7,6 +7,8 @@ from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,8 +48,9 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 
 def labelled_people(spark: SparkSession, folder: str) -> DataFrame:
-    """Modeling rows with a label."""
-    return views.modeling_people(spark, folder).where(F.col("target").isNotNull())
+    """The modeling table, written once as later steps scan it, without unlabelled rows."""
+    people = views.modeling_people(spark, folder).where(F.col("target").isNotNull())
+    return materialize(people, "modeling")
 
 
 # --- ingest ----------------------------------------------------------------
@@ -317,23 +320,15 @@ def feature_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def feature_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
+    """Sum of every encoded column over all rows, by position in the vector."""
     people, development = _development(spark, folder)
     counts = features.fit_counts(development, PEOPLE)
     encoder = features.fit_encoder(
         counts, PEOPLE, features.PreprocessingConfig("ordinal_aware", True, MIN_FREQUENCY)
     )
     encoded = features.encoder_pipeline(encoder, people).transform(people)
-    values = vector_to_array("features")
-    return rounded(
-        encoded.select(
-            ID,
-            F.size(values).alias("width"),
-            F.aggregate(values, F.lit(0.0), lambda total, value: total + value).alias("total"),
-        ),
-        "total",
-    )
+    totals = encoded.agg(vector_to_array(Summarizer.sum(F.col("features"))).alias("totals"))
+    return rounded(totals.select(F.posexplode("totals").alias("position", "total")), "total", digits=4)
 
 
 # --- rank and evaluation ---------------------------------------------------

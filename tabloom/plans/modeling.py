@@ -48,7 +48,7 @@ from tabloom.operators.search import (
     trial_candidates,
 )
 from tabloom.operators.split import DEVELOPMENT, TEST, split_manifest, stratified_split
-from tabloom.scratch import materialize
+from tabloom.scratch import materialize, spread
 from tabloom.sources.registry import ModelRegistry
 from tabloom.sources.tables import write_report
 
@@ -337,7 +337,7 @@ def fit_final(
         train = development.withColumn("weight", balanced_weight(label, rows, positives))
         weight = "weight"
     estimator = build_estimator(params, rows, seed, label=label, weight=weight)
-    classifier = estimator.fit(stages.transform(train))
+    classifier = estimator.fit(stages.transform(spread(train)))
     model = PipelineModel(stages=[*stages.stages, classifier])
     scored = materialize(
         model.transform(test).select(

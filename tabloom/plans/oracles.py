@@ -375,17 +375,21 @@ SELECT '{strategy}_{"with" if include_city else "without"}_city' AS name, '{stra
 """
 
 
+_FEATURE_ORDER = f"list_position([{names(tuple(_ONE_HOT))}], feature)"
 _MATRIX = f"""
-SELECT a.enrollee_id,
-       (2 + {len(_ORDERS)} + (SELECT sum(c) FROM (
-          SELECT count(*) FILTER (frequent) + max((NOT frequent)::INT) AS c FROM w GROUP BY feature)))::INT AS width,
-       round((i.x - g.mean) / g.sd + (i.missing - mi.mean) / mi.sd
-         + {" + ".join(f"(e.{name} - z.{name}_mean) / z.{name}_sd" for name in _ORDERS)}
-         + h.active, 6) AS total
-FROM a JOIN i USING (enrollee_id) JOIN e USING (enrollee_id) JOIN (
-  SELECT enrollee_id, count(name) AS active FROM ({_ACTIVE}) GROUP BY 1
-) h USING (enrollee_id), g, z,
-(SELECT avg(missing) AS mean, stddev_pop(missing) AS sd FROM i WHERE split = 'development') mi
+SELECT 0 AS position, round((SELECT sum((x - mean) / sd) FROM i, g) , 4) + 0 AS total
+UNION ALL SELECT 1, round(sum((missing - m.mean) / m.sd), 4)
+FROM i, (SELECT avg(missing) AS mean, stddev_pop(missing) AS sd FROM i WHERE split = 'development') m
+""" + "".join(
+    f"UNION ALL SELECT {2 + place}, round(sum(({name} - {name}_mean) / {name}_sd), 4) FROM e, z\n"
+    for place, name in enumerate(_ORDERS)
+) + f"""
+UNION ALL SELECT ({1 + len(_ORDERS)} + row_number() OVER (ORDER BY {_FEATURE_ORDER}, rare, name))::INT,
+       (SELECT count(*) FROM act WHERE act.name = h.name)::DOUBLE
+FROM (
+  SELECT DISTINCT feature, NOT frequent AS rare,
+         CASE WHEN frequent THEN feature || '=' || category ELSE feature || '=__INFREQUENT__' END AS name FROM w
+) h
 """
 
 # --- search ----------------------------------------------------------------
@@ -623,7 +627,7 @@ FROM documents, (SELECT avg(n_chars) AS mean, stddev_pop(n_chars) AS sd, median(
     ),
     "feature_matrix": with_tables(
         _MATRIX, **LABELLED, i=_IMPUTED, g=_SCALING, o=f"SELECT {modes_sql()}", e=_CODED, z=_CODE_SCALING,
-        w=words_sql(_ONE_HOT, 10), l=_LONG,
+        w=words_sql(_ONE_HOT, 10), l=_LONG, act=_ACTIVE,
     ),
     "global_rank": f"SELECT enrollee_id, row_number() OVER (ORDER BY p, enrollee_id) AS rank FROM ({SCORED})",
     "priority_rank": f"""

@@ -40,3 +40,9 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give an iterative fit all cores when a small table came in few partitions."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
