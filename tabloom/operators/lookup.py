@@ -8,36 +8,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 128 * 1024 * 1024
 HOT_KEYS = 10_000
 
 
+def _size(table: DataFrame) -> tuple[int, int]:
+    """Rows and a byte count: text as it is, 8 bytes for any other value."""
+    texts = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in table.dtypes if kind == "string"]
+    row = sum(texts, F.lit(8 * len(table.columns)))
+    counted = table.agg(F.count("*"), F.coalesce(F.sum(row.cast("bigint")), F.lit(0))).first()
+    return counted[0], counted[1]
+
+
 def left_lookup(
     rows: DataFrame,
     table: DataFrame,
     keys: Sequence[str],
     weight: str,
-    table_rows: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Left join ``rows`` with ``table`` on ``keys``; exact for any key skew.
 
-    ``weight`` is the number of rows of each key.  A table counted below
-    ``broadcast_rows`` is broadcast.  A larger one is cut in two: keys that hold
-    more than 1/HOT_KEYS of all weight, of which there are fewer than HOT_KEYS,
-    are broadcast; the other keys are small enough for a shuffle join.
+    ``weight`` is the number of rows of each key.  A table measured below both
+    bounds is broadcast.  A larger one is cut in two: keys that hold more than
+    1/HOT_KEYS of all weight, of which there are fewer than HOT_KEYS, are
+    broadcast when their bytes allow; the other keys are small enough for a
+    shuffle join.
     """
     keys = list(keys)
     values = [name for name in table.columns if name not in (*keys, weight)]
-    if table_rows is None:
-        table_rows = table.count()
-    if table_rows <= broadcast_rows:
+    count, size = _size(table)
+    if count <= broadcast_rows and size <= broadcast_bytes:
         return rows.join(F.broadcast(table.drop(weight)), keys, "left")
 
     total = table.agg(F.sum(weight)).first()[0] or 0
     is_hot = F.col(weight) * HOT_KEYS > F.lit(total)
     hot = table.where(is_hot).drop(weight).withColumn("__hot", F.lit(True))
     cold = table.where(~is_hot).drop(weight)
-    tagged = rows.join(F.broadcast(hot), keys, "left")
+    if _size(hot)[1] <= broadcast_bytes:
+        hot = F.broadcast(hot)
+    tagged = rows.join(hot, keys, "left")
     matched = tagged.where(F.col("__hot")).drop("__hot")
     unmatched = tagged.where(F.col("__hot").isNull()).drop("__hot", *values)
     return matched.unionByName(unmatched.join(cold, keys, "left"))

@@ -80,6 +80,11 @@ def _value_checks(contract: TableContract) -> dict[str, Column]:
     return checks
 
 
+def _total(name: str) -> Column:
+    """Sum over partial one-row summaries."""
+    return F.coalesce(F.sum(name), F.lit(0)).cast("bigint")
+
+
 def quality_checks(
     df: DataFrame,
     contract: TableContract,
@@ -111,20 +116,14 @@ def quality_checks(
     )
     pieces = summary.unionByName(duplicates, allowMissingColumns=True)
     if raw is not None:
-        pieces = pieces.unionByName(
-            raw.agg(F.count("*").alias("__raw_rows")), allowMissingColumns=True
-        )
-
-    def total(name: str) -> Column:
-        return F.coalesce(F.sum(name), F.lit(0)).cast("bigint")
-
-    named = {name: total(name) for name in checks}
-    named["expected_row_count"] = F.abs(total("__rows") - F.lit(expected_rows))
-    named[f"{contract.identifier}_unique"] = total("__duplicate_ids")
-    named["no_exact_duplicate_rows"] = total("__duplicate_rows")
-    named[f"both_{contract.label}_classes_present"] = (total("__classes") != 2).cast("bigint")
+        pieces = pieces.unionByName(raw.agg(F.count("*").alias("__raw_rows")), allowMissingColumns=True)
+    named = {name: _total(name) for name in checks}
+    named["expected_row_count"] = F.abs(_total("__rows") - F.lit(expected_rows))
+    named[f"{contract.identifier}_unique"] = _total("__duplicate_ids")
+    named["no_exact_duplicate_rows"] = _total("__duplicate_rows")
+    named[f"both_{contract.label}_classes_present"] = (_total("__classes") != 2).cast("bigint")
     if raw is not None:
-        named["raw_and_modeling_row_counts_match"] = F.abs(total("__raw_rows") - total("__rows"))
+        named["raw_and_modeling_row_counts_match"] = F.abs(_total("__raw_rows") - _total("__rows"))
     wide = pieces.agg(*[value.cast("bigint").alias(name) for name, value in named.items()])
     return (
         wide.unpivot([], list(named), "check_name", "failed_rows")
@@ -182,22 +181,20 @@ def frame_contract(df: DataFrame, contract: TableContract, expected_rows: int, s
         if column.name in contract.numeric:
             checks[f"{column.name}_missing"] = F.col(column.name).isNull()
             checks[f"{column.name}_out_of_range"] = F.col(column.name).isNotNull() & column.violation()
-    per_id = df.groupBy(identifier.alias("__id")).agg(
+    # One scan without a shuffle for the values, one narrow shuffle of the identifier.
+    summary = df.agg(
         F.count("*").alias("__rows"),
         F.count_if(label == 0).alias("__class_0"),
         F.count_if(label == 1).alias("__class_1"),
         *[F.count_if(bad).alias(name) for name, bad in checks.items()],
     )
-
-    def total(name: str) -> Column:
-        return F.coalesce(F.sum(name), F.lit(0)).cast("bigint")
-
-    surplus = F.when(F.col("__id").isNotNull(), F.col("__rows") - 1).otherwise(0)
-    named = {name: total(name) for name in checks}
-    named["row_count"] = F.abs(total("__rows") - F.lit(expected_rows))
-    named["identifier_duplicated"] = F.coalesce(F.sum(surplus), F.lit(0)).cast("bigint")
-    named["class_too_small"] = (F.least(total("__class_0"), total("__class_1")) < 2).cast("bigint")
-    wide = per_id.agg(*[value.cast("bigint").alias(name) for name, value in named.items()])
+    repeated = duplicate_keys(df, contract.identifier).select("duplicate_keys")
+    pieces = summary.unionByName(repeated, allowMissingColumns=True)
+    named = {name: _total(name) for name in checks}
+    named["row_count"] = F.abs(_total("__rows") - F.lit(expected_rows))
+    named["identifier_duplicated"] = _total("duplicate_keys")
+    named["class_too_small"] = F.least(_total("__class_0"), _total("__class_1")) < 2
+    wide = pieces.agg(*[value.cast("bigint").alias(name) for name, value in named.items()])
     return wide.unpivot([], list(named), "check_name", "failed_rows").orderBy("check_name")
 
 

@@ -97,9 +97,16 @@ def _cut_keys(
     return found
 
 
-def _at_or_before(identifier: str, salt: str, cut: tuple[str, object]) -> Column:
-    key = hash_key(identifier, salt)
-    return (key < cut[0]) | ((key == cut[0]) & (F.col(identifier) <= F.lit(cut[1])))
+_KEY = "__key"
+
+
+def _at_or_before(identifier: str, cut: tuple[str, object]) -> Column:
+    return (F.col(_KEY) < cut[0]) | ((F.col(_KEY) == cut[0]) & (F.col(identifier) <= F.lit(cut[1])))
+
+
+def _assign(df: DataFrame, identifier: str, salt: str, output: str, value: Column) -> DataFrame:
+    """Add ``value``, which compares the hash key, hashing each row once."""
+    return df.withColumn(_KEY, hash_key(identifier, salt)).withColumn(output, value).drop(_KEY)
 
 
 def development_quotas(sizes: dict[object, int], test_size: float) -> dict[object, int]:
@@ -144,9 +151,10 @@ def stratified_split(
     for cls, by_position in cuts.items():
         cut = by_position[quotas[cls]]
         in_development = in_development | (
-            (F.col(label) == F.lit(cls)) & _at_or_before(identifier, salt, cut)
+            (F.col(label) == F.lit(cls)) & _at_or_before(identifier, cut)
         )
-    return df.withColumn(output, F.when(in_development, F.lit(DEVELOPMENT)).otherwise(F.lit(TEST)))
+    value = F.when(in_development, F.lit(DEVELOPMENT)).otherwise(F.lit(TEST))
+    return _assign(df, identifier, salt, output, value)
 
 
 def fold_sizes(sizes: dict[object, int], folds: int) -> dict[object, list[int]]:
@@ -192,9 +200,9 @@ def stratified_folds(
         before = F.lit(False)
         for cls, places in ends.items():
             cut = cuts[cls][places[number - 1]]
-            before = before | ((F.col(label) == F.lit(cls)) & _at_or_before(identifier, salt, cut))
+            before = before | ((F.col(label) == F.lit(cls)) & _at_or_before(identifier, cut))
         fold = F.when(before, F.lit(number)).otherwise(fold)
-    return df.withColumn(output, fold)
+    return _assign(df, identifier, salt, output, fold)
 
 
 def id_digest(identifier: str) -> list[Column]:

@@ -161,8 +161,9 @@ def descriptor_parse(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Checks of the written modeling table against the raw one."""
     return quality.quality_checks(
-        views.modeling_people(spark, folder),
+        materialize(views.modeling_people(spark, folder), "modeling"),
         PEOPLE,
         expected_rows=19_158,
         source_uri=views.SOURCE_URI,
