@@ -247,7 +247,7 @@ def shared_identifiers(df: DataFrame, identifier: str, split: str = "split") ->
     """One row: identifiers in all and those found in more than one partition."""
     return (
         df.groupBy(identifier)
-        .agg((F.min(split) != F.max(split)).cast("bigint").alias("shared"))
+        .agg((F.min(F.xxhash64(split)) != F.max(F.xxhash64(split))).cast("bigint").alias("shared"))
         .agg(
             F.count("*").alias("identifiers"),
             F.coalesce(F.sum("shared"), F.lit(0)).cast("bigint").alias("shared_identifiers"),

@@ -56,3 +56,22 @@ def test_scan_reads_only_needed_columns(spark):
     text = plan(entry.queries()["duplicate_keys"](spark, FOLDER))
     assert "ReadSchema: struct<l_orderkey:bigint>" in text
     assert "IsNotNull(l_orderkey)" in text
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "global_rank", "average_precision", "f2_threshold", "capacity_curve", "document_fairness", "fold_metrics",
+        "document_scale", "one_hot", "priority_rank", "stratified_split", "stratified_folds",
+    ],
+)
+def test_many_parts_and_no_broadcast_give_the_same(spark, database, monkeypatch, name):
+    """The paths of large tables, forced on small ones."""
+    from tabloom.operators import lookup, prefix, split
+
+    monkeypatch.setattr(prefix, "ROWS_PER_PART", 40)
+    monkeypatch.setattr(lookup.left_lookup, "__defaults__", (0, lookup.BROADCAST_BYTES))
+    monkeypatch.setattr(lookup, "HOT_KEYS", 20)
+    monkeypatch.setattr(split, "BUCKET_DIGITS", 1)
+    df = entry.queries()[name](spark, FOLDER)
+    assert comparing.difference(df, database, entry.oracle_sql()[name]) is None
