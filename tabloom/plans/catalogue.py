@@ -107,7 +107,7 @@ def manifest_diff(spark: SparkSession, folder: str) -> DataFrame:
     documents = views.table(spark, folder, "documents")
     expected = _document_manifest(documents)
     changed = documents.withColumn(
-        "text", F.when(F.col("doc_id") % 50 == 0, F.upper("text")).otherwise(F.col("text"))
+        "text", F.when(F.col("doc_id") % 50 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
     )
     key = F.when(F.col("value") == "src5", F.lit("note")).otherwise(F.col("key"))
     stored = _document_manifest(changed).where(F.col("value") != "src3").withColumn("key", key)

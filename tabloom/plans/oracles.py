@@ -514,7 +514,7 @@ FROM e FULL JOIN s USING (doc_id, key) WHERE s.value IS DISTINCT FROM e.value
 """,
         e=_DOC_ENTRIES.format(text="text"),
         s="SELECT doc_id, CASE WHEN value = 'src5' THEN 'note' ELSE key END AS key, value FROM ("
-        + _DOC_ENTRIES.format(text="(CASE WHEN doc_id % 50 = 0 THEN upper(text) ELSE text END)")
+        + _DOC_ENTRIES.format(text="(CASE WHEN doc_id % 50 = 0 THEN text || '!' ELSE text END)")
         + ") WHERE value <> 'src3'",
     ),
     "report_catalog": f"""
