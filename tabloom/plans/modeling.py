@@ -53,6 +53,7 @@ from tabloom.sources.registry import ModelRegistry
 from tabloom.sources.tables import write_report
 
 FRACTIONS = (0.25, 0.50, 0.75)
+TEST_SIZE = 0.2
 TRIAL_SCHEMA = (
     "study string, trial bigint, model_name string, strategy string, include_city boolean,"
     " params map<string,string>, metrics map<string,double>, state string, value double,"
@@ -69,14 +70,14 @@ def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def split_table(df: DataFrame, contract: TableContract, test_size: float = 0.2, seed: int = 42) -> DataFrame:
+def split_table(df: DataFrame, contract: TableContract, test_size: float = TEST_SIZE, seed: int = 42) -> DataFrame:
     """Written split of the modeling table, one folder per partition."""
     columns = [contract.identifier, *contract.features, *contract.protected, contract.label]
     split = stratified_split(df.select(*columns), contract.identifier, contract.label, test_size, seed)
     return materialize(split, "split", partition_by=("split",))
 
 
-def prepare(df: DataFrame, contract: TableContract, test_size: float = 0.2, seed: int = 42) -> DataFrame:
+def prepare(df: DataFrame, contract: TableContract, test_size: float = TEST_SIZE, seed: int = 42) -> DataFrame:
     """Encoded width of each preprocessing candidate, fitted on development rows."""
     split = split_table(df, contract, test_size, seed)
     counts = fit_counts(split.where(F.col("split") == DEVELOPMENT), contract)
@@ -174,6 +175,10 @@ class Study:
     def name(self) -> str:
         return f"{STUDY_PREFIX}-v{SEARCH_SPACE_VERSION}-{self.source_sha256[:12]}-cv{self.cv_folds}"
 
+    @property
+    def reports(self) -> str:
+        return f"{self.store}/reports"
+
     @property
     def contract(self) -> dict[str, object]:
         return {
@@ -223,6 +228,10 @@ def tune(
     require_study_contract(study.trials(), study.contract)
     split = split_table(df, contract, seed=study.seed)
     development = split.where(F.col("split") == DEVELOPMENT)
+    write_report(
+        nested_split_manifest(split, contract, study.source_sha256, TEST_SIZE, study.seed),
+        f"{study.reports}/split_manifest",
+    )
 
     def default(rows: DataFrame, params: Mapping[str, str]) -> CrossValidation:
         return cross_validate_pipeline(rows, contract, params, study.cv_folds, study.seed, parallelism)
@@ -239,9 +248,12 @@ def tune(
         if time.monotonic() >= deadline:
             break
         study.append(first_trial + number, params, evaluate(development, params))
-    return selection_summary(study, cross_validate_prior(
+    baseline = cross_validate_prior(
         development, contract.identifier, contract.label, study.cv_folds, study.seed
-    ))
+    )
+    summary = selection_summary(study, baseline)
+    write_report(summary, f"{study.reports}/model_selection_summary")
+    return summary
 
 
 def selection_summary(study: Study, baseline: CrossValidation) -> DataFrame:
@@ -364,7 +376,6 @@ def finalize(
     allow_test_reevaluation: bool = False,
 ) -> FinalModel:
     """Evaluate the best trial on the test rows once and register it as candidate."""
-    report = f"{study.store}/final_evaluation"
     spark = study.spark
     evaluated = _read_or_empty(spark, f"{study.store}/evaluations", "study string, trial bigint")
     if not evaluated.isEmpty() and not allow_test_reevaluation:
@@ -392,7 +403,9 @@ def finalize(
         test_metrics=metrics,
     )
     registry.promote(model_name, "candidate", version, split)
-    write_report(final.holdout, report)
+    write_report(final.holdout, f"{study.reports}/final_evaluation")
+    write_report(final.fairness, f"{study.reports}/fairness_by_group")
+    write_report(final.gaps, f"{study.reports}/fairness_gaps")
     done = spark.createDataFrame([(study.name, best["trial"])], "study string, trial bigint")
     done.write.mode("append").parquet(f"{study.store}/evaluations")
     return final

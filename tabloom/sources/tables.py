@@ -32,3 +32,11 @@ def write_report(df: DataFrame, path: str) -> None:
     """Write a small report as JSON lines with sorted keys; NULL fields are kept."""
     plain = decimals_to_double(df.select(*sorted(df.columns)))
     plain.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def written_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of the reports below ``folder``, as (run, name); only paths are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    root = "\\Q" + folder.rstrip("/") + "\\E"
+    name = F.regexp_extract("path", f"{root}/([^/]+)/[^/]+$", 1)
+    return files.select(F.lit(folder).alias("run"), name.alias("name")).where("name <> ''").distinct()

@@ -10,6 +10,7 @@ from tabloom.contracts import PEOPLE, ContractError
 from tabloom.operators import crossval, learners, search
 from tabloom.plans import modeling
 from tabloom.plans.catalogue import LOGISTIC
+from tabloom.sources import manifests, tables
 from tabloom.sources.registry import ModelRegistry
 
 ROWS = 400
@@ -174,6 +175,10 @@ def test_tune_resumes_and_finalizes_once(spark, labelled, tmp_path):
     final = modeling.finalize(labelled, PEOPLE, study, registry, "people")
     assert final.holdout.where("metric = 'roc_auc'").first()["value"] > 0.8
     row = registry.describe("people", "candidate").first()
+    catalog = manifests.report_catalog(
+        tables.written_reports(spark, study.reports), "run", "name", ["final_evaluation", "roc_curve", "split_manifest"]
+    )
+    assert manifests.require_reports(catalog) == ["final_evaluation", "split_manifest"]
     assert row["version"] == 1 and not math.isnan(row["test_metrics"]["test_roc_auc"])
     with pytest.raises(ContractError, match="already evaluated"):
         modeling.finalize(labelled, PEOPLE, study, registry, "people")
