@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from tabloom.contracts import PEOPLE
 from tabloom.functions.clean import binary_label, clean_text, remap, safe_double, safe_long
 from tabloom.operators import capacity, crossval, fairness, features, quality, ranking, scoring, search, split
-from tabloom.operators.prefix import global_rank
 from tabloom.plans import modeling, views
 from tabloom.scratch import materialize, scratch_path
 from tabloom.sources import csv, manifests, registry, tables
