@@ -4,19 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabloom.llm import simhash
-from tabloom.llm.common import table
+from tabloom.llm import langid, simhash
+from tabloom.llm.bpe import ByteBpe
+from tabloom.llm.common import fold_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Vocabulary file of the byte-level operators.
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op3_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    fold = fold_of("doc_id", 4)
+    model = langid.fit(documents.where(fold != 2))
+    found = documents.select(
+        "doc_id", (fold == 2).alias("held_out"), langid.detect(spark, model, F.col("text")).alias("found")
+    )
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score", "found.langs", "found.shares")
+
+
+def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    bpe = ByteBpe(spark, RANKS, public_tokenizers.PATTERN)
+    coded = table(spark, folder, "documents").select("doc_id", bpe.digests(F.col("text")).alias("coded"))
+    return coded.select("doc_id", "coded.n_tokens", "coded.ids_sha256", "coded.decoded_sha256")
+
 
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicate_groups(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op3_language_mixture": op3_language_mixture,
+    "op6_byte_bpe": op6_byte_bpe,
     "op10_simhash": op10_simhash,
 }
 ORACLES: dict[str, str] = {}
