@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import langid, simhash
+from tabloom.llm import chat, langid, mixing, pii, simhash
 from tabloom.llm.bpe import ByteBpe
 from tabloom.llm.common import fold_of, table
+from tabloom.llm.lattice import SubwordLattice
+from tabloom.scratch import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +20,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op2_subword_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    held_out = fold_of("doc_id", 5) == 1
+    model = SubwordLattice.fit(documents, RANKS, ~held_out)
+    return model.apply(documents, {"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
 def op3_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     fold = fold_of("doc_id", 4)
@@ -28,19 +37,122 @@ def op3_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score", "found.langs", "found.shares")
 
 
+def op4_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    sizes = mixing.source_sizes(documents)
+    rates = mixing.repetition_rates(sizes, mixing.temperature_weights(sizes))
+    return mixing.poisson_mix(documents, rates)
+
+
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     bpe = ByteBpe(spark, RANKS, public_tokenizers.PATTERN)
     coded = table(spark, folder, "documents").select("doc_id", bpe.digests(F.col("text")).alias("coded"))
     return coded.select("doc_id", "coded.n_tokens", "coded.ids_sha256", "coded.decoded_sha256")
 
 
+def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    words = "</s>[INST] ok [/INST]"
+    probe = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").cast("int").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(words).alias("text"),
+    )
+    records = chat.canonical(chat.records_of_rows(given.unionByName(probe)), "record")
+    output = materialize(chat.format_turns(records).select("conv_id", "layout", "formatted", "loss"), "formatted")
+    back = output.select(
+        "conv_id", "layout", "formatted",
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.read_loss(F.col("formatted"), F.col("loss")).alias("taught"),
+    )
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(chat.turns_text(F.col("turns")), 256).alias("turns_sha256"),
+        F.length("taught").cast("long").alias("loss_chars"),
+        F.sha2("taught", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        "layout",
+    )
+
+
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = table(spark, folder, "documents").select("doc_id", "text", pii.base_spans(F.col("text")).alias("base"))
+    spans = found.select("doc_id", "base", pii.all_spans(F.col("text"), F.col("base")).alias("spans"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return spans.select(
+        "doc_id",
+        *[count(kind.name) for kind in pii.BASE],
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicate_groups(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op2_subword_lattice": op2_subword_lattice,
     "op3_language_mixture": op3_language_mixture,
+    "op4_poisson_mix": op4_poisson_mix,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_chat_format": op7_chat_format,
+    "op8_personal_data": op8_personal_data,
     "op10_simhash": op10_simhash,
 }
-ORACLES: dict[str, str] = {}
+
+_MIX = f"""
+WITH sizes AS (
+  SELECT coalesce('s' || source, 'n') AS source_key, count(*)::DOUBLE AS n FROM documents GROUP BY 1
+), rates AS (
+  SELECT source_key, pow(n, {mixing.TEMPERATURE}) / sum(pow(n, {mixing.TEMPERATURE})) OVER () * sum(n) OVER () / n AS rate
+  FROM sizes
+), steps AS (
+  SELECT source_key, sum(exp(-rate + k * ln(rate) - lgamma(k + 1.0))) OVER (PARTITION BY source_key ORDER BY k) AS below
+  FROM (SELECT source_key, rate, unnest(range(ceil(rate + 12 * sqrt(rate) + 30)::BIGINT + 1)) AS k FROM rates)
+), drawn AS (
+  SELECT d.doc_id, count(s.below) AS n
+  FROM documents d LEFT JOIN steps s
+    ON s.source_key = coalesce('s' || d.source, 'n')
+    AND s.below <= ('0x' || substr(md5('{mixing.SEED}:' || coalesce(d.doc_id::VARCHAR, '')), 1, {mixing.UNIFORM_DIGITS}))::BIGINT
+      / {float(16**mixing.UNIFORM_DIGITS)}
+  GROUP BY d.doc_id
+), copies AS (
+  SELECT doc_id, unnest(range(1, n + 1))::INTEGER AS copy FROM drawn
+)
+SELECT d.*, c.copy,
+  ('0x' || substr(md5('{mixing.SEED}:' || c.doc_id::VARCHAR || ':' || c.copy::VARCHAR), 1, {mixing.ORDER_DIGITS}))::BIGINT
+    AS shuffle_key
+FROM copies c JOIN documents d ON d.doc_id = c.doc_id
+"""
+
+_CONTROL = r"[<\[]\\*(\||/?s>|/?INST\])"
+_CHAT = f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), grouped AS (
+  SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS taught,
+    list(role ORDER BY turn, role, text) AS roles,
+    sum({len(chat.TURN)} + length(role) + 1 + length(text) + len(regexp_extract_all(text, '{_CONTROL}')) + {len(chat.END)})
+      ::BIGINT AS formatted_chars
+  FROM rows GROUP BY conv_id
+)
+SELECT conv_id, n_turns, turns_sha256, length(taught)::BIGINT AS loss_chars, sha256(taught) AS loss_sha256, formatted_chars,
+  CASE WHEN roles IN (['user', 'assistant'], ['system', 'user', 'assistant']) THEN 'prompt_response' ELSE 'messages' END
+    AS layout
+FROM grouped
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_poisson_mix": _MIX,
+    "op7_chat_format": _CHAT,
+}
