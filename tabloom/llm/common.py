@@ -73,3 +73,58 @@ def finite_vector(vector: Column) -> Column:
     """Not null, not empty, only finite components, and not the zero vector."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return F.coalesce((F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
+
+
+def vector_key(vector: Column) -> Column:
+    """A digest by which equal vectors meet."""
+    return F.sha2(F.array_join(vector.cast("array<string>"), ","), 256)
+
+
+def float_matrix(column):
+    """A list column of an Arrow batch or table as a matrix; shorter rows end in zeros."""
+    import numpy as np
+    import pyarrow as pa
+
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    lengths = np.diff(column.offsets.to_numpy())
+    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    width = int(lengths.max(initial=0))
+    if len(lengths) and lengths.min() == width:
+        return values.reshape(len(lengths), width)
+    matrix = np.zeros((len(lengths), width))
+    matrix[np.arange(width) < lengths[:, None]] = values
+    return matrix
+
+
+def whole_runs(batches, keys: list[str], rows: int):
+    """Tables of at least ``rows`` rows (but the last) from sorted batches, cut only where a key changes."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    held, size = [], 0
+
+    def changes(table):
+        new = np.zeros(table.num_rows, dtype=bool)
+        for key in keys:
+            column = table[key].combine_chunks()
+            differs = pc.not_equal(column.slice(1), column.slice(0, len(column) - 1))
+            new[1:] |= differs.to_numpy(zero_copy_only=False)
+        return np.flatnonzero(new)
+
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size < rows:
+            continue
+        table = pa.Table.from_batches(held)
+        borders = changes(table)
+        if len(borders):
+            yield table.slice(0, int(borders[-1]))
+            table = table.slice(int(borders[-1]))
+        held, size = table.to_batches(), table.num_rows
+        # A run longer than ``rows`` is looked at again only when it has doubled.
+        rows = max(rows, 2 * size) if not len(borders) else rows
+    if size:
+        yield pa.Table.from_batches(held)

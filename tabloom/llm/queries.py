@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import chat, langid, mixing, pii, simhash
+from tabloom.llm import caps, chat, langid, mixing, pii, simhash
 from tabloom.llm.bpe import ByteBpe
 from tabloom.llm.common import fold_of, table
 from tabloom.llm.lattice import SubwordLattice
@@ -92,6 +92,10 @@ def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_spherical_caps(spark: SparkSession, folder: str) -> DataFrame:
+    return caps.near_duplicate_vectors(table(spark, folder, "embeddings"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicate_groups(table(spark, folder, "documents"))
 
@@ -103,6 +107,7 @@ QUERIES: dict[str, Query] = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_chat_format": op7_chat_format,
     "op8_personal_data": op8_personal_data,
+    "op9_spherical_caps": op9_spherical_caps,
     "op10_simhash": op10_simhash,
 }
 
