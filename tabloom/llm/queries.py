@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import caps, chat, langid, mixing, pii, simhash
+from tabloom.llm import ann, caps, chat, langid, mixing, pii, simhash, token_files
 from tabloom.llm.bpe import ByteBpe
 from tabloom.llm.common import fold_of, table
 from tabloom.llm.lattice import SubwordLattice
@@ -20,6 +20,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_projected_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_subword_lattice(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     held_out = fold_of("doc_id", 5) == 1
@@ -44,6 +48,10 @@ def op4_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.poisson_mix(documents, rates)
 
 
+def op5_separator_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.documents_token_counts(table(spark, folder, "documents")).select("doc_id", "n_tokens")
+
+
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     bpe = ByteBpe(spark, RANKS, public_tokenizers.PATTERN)
     coded = table(spark, folder, "documents").select("doc_id", bpe.digests(F.col("text")).alias("coded"))
@@ -101,9 +109,11 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_projected_neighbours": op1_projected_neighbours,
     "op2_subword_lattice": op2_subword_lattice,
     "op3_language_mixture": op3_language_mixture,
     "op4_poisson_mix": op4_poisson_mix,
+    "op5_separator_scan": op5_separator_scan,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_chat_format": op7_chat_format,
     "op8_personal_data": op8_personal_data,
@@ -136,6 +146,10 @@ SELECT d.*, c.copy,
 FROM copies c JOIN documents d ON d.doc_id = c.doc_id
 """
 
+_WORDS = r"""
+SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens FROM documents
+"""
+
 _CONTROL = r"[<\[]\\*(\||/?s>|/?INST\])"
 _CHAT = f"""
 WITH rows AS (
@@ -159,5 +173,6 @@ FROM grouped
 
 ORACLES: dict[str, str] = {
     "op4_poisson_mix": _MIX,
+    "op5_separator_scan": _WORDS,
     "op7_chat_format": _CHAT,
 }
