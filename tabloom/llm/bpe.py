@@ -322,13 +322,13 @@ class ByteBpe:
 
         return column_udf(make, "binary")(ids)
 
-    def digests(self, text: Column) -> Column:
-        """Per text the number of ids, the digest of the ids, and that of the text decoded from them."""
+    def _described(self, text: Column, with_ids: bool) -> Column:
         rank_file, pattern = self.rank_file, self.pattern
 
         def make():
             import hashlib
 
+            import numpy as np
             import pandas as pd
 
             tokenizer = worker_tokenizer(rank_file, pattern)
@@ -337,9 +337,20 @@ class ByteBpe:
                 for value in texts:
                     packed = tokenizer.encode(value)
                     decoded = tokenizer.decode(packed)
-                    yield len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest()
+                    digests = hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest()
+                    ids = (np.frombuffer(packed, "<i4"),) if with_ids else ()
+                    yield len(packed) // 4, *digests, *ids
 
-            return lambda texts: pd.DataFrame(list(rows(texts)), columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            names = ["n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
+            return lambda texts: pd.DataFrame(list(rows(texts)), columns=names)
 
-        schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+        schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
         return column_udf(make, schema)(F.coalesce(text, F.lit("")))
+
+    def digests(self, text: Column) -> Column:
+        """Per text the number of ids, the digest of the ids, and that of the text decoded from them."""
+        return self._described(text, with_ids=False)
+
+    def encoded(self, text: Column) -> Column:
+        """``digests`` and the ids themselves."""
+        return self._described(text, with_ids=True)

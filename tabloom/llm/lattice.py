@@ -78,9 +78,8 @@ class Lattice:
     def _hash_table(self, np) -> None:
         """Pieces in an open table over their polynomial hashes."""
         self.factor = np.uint64(0x9E3779B97F4A7C15)
-        self.powers = np.ones(self.longest + 1, dtype=np.uint64)
-        for i in range(1, self.longest + 1):
-            self.powers[i] = self.powers[i - 1] * self.factor
+        whole = [pow(int(self.factor), i, 1 << 64) for i in range(self.longest + 1)]
+        self.powers = np.array(whole, dtype=np.uint64)
         self.bits = 20
         size = 1 << self.bits
         self.keys, self.values = np.zeros(size, dtype=np.uint64), np.full(size, -np.inf)
