@@ -15,7 +15,7 @@ written as Parquet in the shared folder before the next one reads it, so a lost
 executor never costs more than one stage's tasks.
 
 Edge cases: rows that share an id count as one document for stage 2, of which
-the smallest row stays; rows with a null id are kept by stage 2; null texts are
+the smallest text stays; rows with a null id are kept by stage 2; null texts are
 dropped by stage 1; an empty table gives an empty result.
 """
 
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tabloom.llm import langid, mixing, pii, simhash
 from tabloom.llm.bpe import ByteBpe
+from tabloom.llm.common import free_name
 from tabloom.scratch import materialize
 
 #: Near-duplicates of this stage: fingerprints over five words, up to four bits apart.
@@ -41,8 +42,9 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a known language."""
     model = langid.fit(docs)
-    found = docs.withColumn("__found", langid.detect(spark, model, F.col("text")))
-    known = (F.col("__found.lang_pred") != langid.UNKNOWN) & (F.col("__found.score") >= MIN_SHARE)
+    name = free_name("found", docs.columns)
+    found = docs.withColumn(name, langid.detect(spark, model, F.col("text")))
+    known = (F.col(name)["lang_pred"] != langid.UNKNOWN) & (F.col(name)["score"] >= MIN_SHARE)
     return found.where(known).select(*docs.columns)
 
 
@@ -52,16 +54,18 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     copies = groups.groupBy("doc_id").agg(F.min("component_id").alias("component_id")).where("component_id < doc_id")
     others = [name for name in docs.columns if name != "doc_id"]
     kept = docs.where("doc_id IS NOT NULL").join(copies.select("doc_id"), "doc_id", "left_anti")
-    smallest = kept.groupBy("doc_id").agg(F.min(F.struct(*others)).alias("__row"))
-    single = smallest.select("doc_id", *[F.col("__row")[name].alias(name) for name in others]).select(*docs.columns)
+    one = F.min_by(F.struct(*others), F.coalesce("text", F.lit("")))
+    single = kept.groupBy("doc_id").agg(one.alias("row"))
+    single = single.select("doc_id", *[F.col("row")[name].alias(name) for name in others]).select(*docs.columns)
     return single.unionByName(docs.where("doc_id IS NULL"))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind."""
-    found = docs.withColumn("__base", pii.base_spans(F.col("text")))
-    spans = found.withColumn("__spans", pii.all_spans(F.col("text"), F.col("__base")))
-    clean = spans.withColumn("text", pii.redact(F.col("text"), F.col("__spans")))
+    base, spans = free_name("base", docs.columns), free_name("spans", docs.columns)
+    found = docs.withColumn(base, pii.base_spans(F.col("text")))
+    found = found.withColumn(spans, pii.all_spans(F.col("text"), F.col(base)))
+    clean = found.withColumn("text", pii.redact(F.col("text"), F.col(spans)))
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return clean.select(*docs.columns)

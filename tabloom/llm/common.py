@@ -19,6 +19,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """The name, with underscores after it while the other columns have it (case does not count)."""
+    used = {column.lower() for column in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def fold_of(identifier: str | Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as empty text."""
     column = F.col(identifier) if isinstance(identifier, str) else identifier

@@ -14,8 +14,8 @@ Spark's own expressions.
 Edge cases: a null source is a source of its own; a null id draws as an empty
 one; repeated rows draw alike and are each copied; a source without weight is
 left out; an empty table, or weights that are all 0, give an empty mix; columns
-of the documents stay, and two columns are added under names that are refused
-if the documents have them.
+of the documents stay, and the names of the two added columns get underscores
+after them while the documents have such a column.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.llm.common import free_name
 from tabloom.operators.lookup import left_lookup
 from tabloom.scratch import materialize
 
@@ -90,16 +91,15 @@ def poisson_mix(
     df: DataFrame, rates: DataFrame, identifier: str = "doc_id", source: str = "source", seed: int = SEED
 ) -> DataFrame:
     """All copies in global random order: the documents' columns, the number of the copy, and the order's key."""
-    for name in (COPY, ORDER):
-        if name in df.columns:
-            raise ValueError(f"the documents have a column {name}")
-    table = materialize(rates.select("source_key", "n", "steps"), "rates")
-    keyed = df.withColumn("source_key", source_key(F.col(source))) if "source_key" not in df.columns else None
-    if keyed is None:
-        raise ValueError("the documents have a column source_key")
+    copy, order = free_name(COPY, df.columns), free_name(ORDER, df.columns)
+    key, steps = free_name("source_key", df.columns), free_name("steps", df.columns)
+    weight = free_name("n", df.columns)
+    table = materialize(
+        rates.select(F.col("source_key").alias(key), F.col("n").alias(weight), F.col("steps").alias(steps)), "rates"
+    )
     uniform = hashed(UNIFORM_DIGITS, F.lit(seed), F.col(identifier)) / F.lit(float(16**UNIFORM_DIGITS))
-    joined = left_lookup(keyed, table, ["source_key"], "n").where(F.col("steps").isNotNull())
-    drawn = joined.withColumn("steps", F.size(F.filter("steps", lambda below: below <= uniform))).where("steps > 0")
-    copies = drawn.select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("steps"))).alias(COPY))
-    keys = copies.withColumn(ORDER, hashed(ORDER_DIGITS, F.lit(seed), F.col(identifier), F.col(COPY)))
-    return keys.repartition(ORDER).sortWithinPartitions(ORDER, identifier, COPY)
+    joined = left_lookup(df.withColumn(key, source_key(F.col(source))), table, [key], weight)
+    drawn = joined.where(F.col(steps).isNotNull()).withColumn(steps, F.size(F.filter(steps, lambda below: below <= uniform)))
+    copies = drawn.where(F.col(steps) > 0).select(*df.columns, F.explode(F.sequence(F.lit(1), F.col(steps))).alias(copy))
+    keys = copies.withColumn(order, hashed(ORDER_DIGITS, F.lit(seed), F.col(identifier), F.col(copy)))
+    return keys.repartition(order).sortWithinPartitions(order, identifier, copy)

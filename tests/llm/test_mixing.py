@@ -4,7 +4,6 @@ import math
 from collections import Counter
 
 import comparing
-import pytest
 from pyspark.sql import functions as F
 
 from tabloom.llm import mixing, queries
@@ -77,5 +76,7 @@ def test_edge_cases(spark):
     zero = mixing.repetition_rates(sizes, mixing.given_weights(sizes, {"a": 0.0}))
     assert mixing.poisson_mix(docs, zero).collect() == []
     assert mixing.poisson_mix(docs, mixing.repetition_rates(sizes, mixing.given_weights(sizes, {}))).collect() == []
-    with pytest.raises(ValueError):
-        mixing.poisson_mix(docs.withColumn("copy", F.lit(1)), rates)
+    clash = docs.withColumns({name: F.lit(name) for name in ("copy", "Steps", "source_key", "shuffle_key")})
+    renamed = mixing.poisson_mix(clash, rates)
+    assert renamed.columns == [*clash.columns, "copy_", "shuffle_key_"] and renamed.count() == found.count()
+    assert {r[0] for r in renamed.select("copy").collect()} == {"copy"}

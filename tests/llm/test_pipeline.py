@@ -114,7 +114,7 @@ def test_edge_cases(spark):
     data = [(1, words, "aa", "s", 3), (1, words, "aa", "s", 3), (2, words, "aa", None, 3), (3, None, "aa", "s", None), (4, "", None, "s", 0),
             (None, words + " mu", "aa", "s", 1), (5, "lambda mu " * 100_000, "aa", "t", 1), (6, "1 2 3", None, None, 5)]
     docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").withColumns(
-        {"fp": F.lit("clash"), "component": F.lit(1)}
+        {name: F.lit("clash") for name in ("fp", "component", "found", "Base", "spans", "copy", "steps", "n", "row")}
     )
     for _, stage in corpus_pipeline.STAGES[:2]:
         docs = stage(spark, docs, "")
