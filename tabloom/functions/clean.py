@@ -20,13 +20,23 @@ NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z|^(?i)([+
 MISSING_GROUP = "__MISSING__"
 
 
-def clean_text(column: Column) -> Column:
-    """Trim Unicode whitespace; blank becomes NULL.
+def trim_text(column: Column) -> Column:
+    """Trim Unicode whitespace.
 
     A plain ``trim`` strips spaces only.  One call with the whole character set
     keeps the generated code small, which matters more than a fast path here.
     """
-    return F.nullif(F.btrim(column, F.lit(WHITESPACE)), F.lit(""))
+    return F.btrim(column, F.lit(WHITESPACE))
+
+
+def blank_to_null(column: Column) -> Column:
+    """Empty text becomes NULL; ``column`` is read twice, so it should be cheap."""
+    return F.nullif(column, F.lit(""))
+
+
+def clean_text(column: Column) -> Column:
+    """Trim Unicode whitespace; blank becomes NULL."""
+    return blank_to_null(trim_text(column))
 
 
 def safe_long(column: Column) -> Column:

@@ -52,7 +52,7 @@ def capacity_metrics(
     """
     for fraction in fractions:
         if not 0 < fraction <= 1:
-            raise ValueError("selection fractions must be greater than 0 and at most 1")
+            raise ValueError("a selected share lies above 0 and does not exceed 1")
     spark = df.sparkSession
     curve = curve or score_curve(df, label, score, parts=parts)
     rows, positives = curve.table.agg(F.sum("rows"), F.sum("positives")).first()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.clean import group_label, ratio
-from tabloom.operators.ranking import ranking_metrics, score_curve
+from tabloom.operators.ranking import ranking_aggregates, score_curve
 
 
 def fairness_by_group(
@@ -28,14 +28,14 @@ def fairness_by_group(
     above = F.col("score") >= threshold
     tp = F.sum(F.when(above, F.col("positives")).otherwise(0))
     predicted = F.sum(F.when(above, F.col("rows")).otherwise(0))
-    rates = curve.table.groupBy("group").agg(
+    rates = [
         (predicted / F.sum("rows")).alias("predicted_positive_rate"),
         ratio(tp, F.sum("positives")).alias("recall"),
-    )
+    ]
     return (
-        ranking_metrics(curve)
+        curve.table.groupBy("group")
+        .agg(*ranking_aggregates(), *rates)
         .where(F.col("rows") >= minimum_rows)
-        .join(rates, "group")
         .select("group", "rows", "positive_rate", "predicted_positive_rate", "recall", "average_precision")
         .orderBy("group")
     )

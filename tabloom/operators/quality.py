@@ -110,11 +110,12 @@ def quality_checks(
         "__rows", F.col(contract.label).isNotNull().cast("bigint").alias("__classes"), *checks
     )
 
-    duplicates = df.select(contract.identifier, row_digest(df.columns).alias("digest")).agg(
-        (F.count(contract.identifier) - F.count_distinct(F.col(contract.identifier))).alias("__duplicate_ids"),
-        (F.count("*") - F.count_distinct(F.col("digest"))).alias("__duplicate_rows"),
-    )
-    pieces = summary.unionByName(duplicates, allowMissingColumns=True)
+    # Two counts of one key each: two distinct counts in one aggregate would send every row twice.
+    repeats = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
+    by_id = df.where(F.col(contract.identifier).isNotNull()).groupBy(contract.identifier).agg(F.count("*").alias("n"))
+    by_row = df.groupBy(row_digest(df.columns).alias("digest")).agg(F.count("*").alias("n"))
+    pieces = summary.unionByName(by_id.agg(repeats.alias("__duplicate_ids")), allowMissingColumns=True)
+    pieces = pieces.unionByName(by_row.agg(repeats.alias("__duplicate_rows")), allowMissingColumns=True)
     if raw is not None:
         pieces = pieces.unionByName(raw.agg(F.count("*").alias("__raw_rows")), allowMissingColumns=True)
     named = {name: _total(name) for name in checks}

@@ -50,10 +50,11 @@ def score_curve(
     if parts is None:
         parts = part_count(collapsed.count())
     table = running_totals(collapsed, [F.col("score").desc()], COUNTS, groups, parts)
-    return ScoreCurve(table, tuple(groups))
+    # Written once: several metrics read the running counts.
+    return ScoreCurve(materialize(table, "curve"), tuple(groups))
 
 
-def _ranking_aggregates() -> list[Column]:
+def ranking_aggregates() -> list[Column]:
     positives = F.sum("positives")
     negatives = F.sum(F.col("rows") - F.col("positives"))
     both = (positives > 0) & (negatives > 0)
@@ -81,7 +82,7 @@ def ranking_metrics(curve: ScoreCurve) -> DataFrame:
     Average precision is the step sum over distinct scores and ROC-AUC gives
     half credit for ties; both are NULL when a class is absent.
     """
-    return curve.table.groupBy(*curve.groups).agg(*_ranking_aggregates())
+    return curve.table.groupBy(*curve.groups).agg(*ranking_aggregates())
 
 
 def threshold_aggregates(threshold: Column | float) -> list[Column]:
@@ -105,6 +106,14 @@ def classification_metrics(
     return table.groupBy(*groups).agg(*threshold_aggregates(threshold))
 
 
+def row_metrics(df: DataFrame, label: str, score: str, threshold: float) -> DataFrame:
+    """Threshold metrics of scored rows, in one aggregate without a row per score."""
+    counted = df.select(
+        F.col(score).alias("score"), F.col(label).cast("bigint").alias("positives"), F.lit(1).alias("rows")
+    )
+    return counted.agg(*threshold_aggregates(threshold))
+
+
 def f2_threshold(curve: ScoreCurve) -> float:
     """Score with the highest F2; the lowest such score on ties, 0.5 without rows."""
     if curve.groups:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.contracts import ContractError, ColumnContract, TableContract, require_columns
-from tabloom.functions.clean import clean_text
+from tabloom.functions.clean import blank_to_null, trim_text
 from tabloom.operators.learners import positive_probability
 from tabloom.operators.lookup import left_lookup
 from tabloom.operators.prefix import global_rank
@@ -70,14 +70,21 @@ def check_requests(df: DataFrame, contract: RequestContract) -> DataFrame:
     """Typed requests: clean every field and list its broken rules in ``reasons``."""
     require_columns(df, contract.names)
     values = [
-        F.col(field.name) if field.kind == "double" else clean_text(F.col(field.name)).alias(field.name)
+        F.col(field.name) if field.kind == "double" else trim_text(F.col(field.name)).alias(field.name)
         for field in contract.fields
     ]
-    cleaned = df.select(*[name for name in df.columns if name not in contract.names], _once(values))
+    trimmed = df.select(*[name for name in df.columns if name not in contract.names], _once(values))
+    cleaned = _without_blanks(trimmed, contract)
     rules = [rule for field in contract.fields for rule in _value_reasons(contract, field, F.col(field.name))]
     return cleaned.withColumn(REASONS, _reasons(rules))
 
 
+def _without_blanks(trimmed: DataFrame, contract: RequestContract) -> DataFrame:
+    return trimmed.withColumns(
+        {field.name: blank_to_null(F.col(field.name)) for field in contract.fields if field.kind != "double"}
+    )
+
+
 def _once(columns: Sequence[Column]) -> Column:
     """Compute columns once per row, as a generator of one row.
 
@@ -123,10 +130,10 @@ def parse_requests(df: DataFrame, payload: str, contract: RequestContract) -> Da
             cleaned = F.when(good, value)
         else:
             good = kind == "STRING"
-            cleaned = F.when(good, clean_text(value))
+            cleaned = F.when(good, trim_text(value))
         values += [cleaned.alias(field.name), (good | (kind == "VOID")).alias(f"__typed_{field.name}")]
     kinds = [f"__kind_{name}" for name in contract.names]
-    flat = read.select(*others, "__keys", "__valid", *kinds, _once(values))
+    flat = _without_blanks(read.select(*others, "__keys", "__valid", *kinds, _once(values)), contract)
 
     known = F.array(*[F.lit(name) for name in contract.names])
     unknown = F.transform(F.array_except("__keys", known), lambda name: F.concat(name, F.lit(":unknown")))
@@ -169,15 +176,36 @@ def request_bounds(df: DataFrame, request: str, maximum: int = MAX_REQUEST_ROWS)
     )
 
 
-def bounded_requests(
-    df: DataFrame, request: str, maximum: int = MAX_REQUEST_ROWS, broadcast_rows: int | None = None
+def judged_requests(
+    checked: DataFrame, request: str, maximum: int = MAX_REQUEST_ROWS, broadcast_rows: int | None = None
 ) -> DataFrame:
-    """Rows of requests within bounds; a huge request never meets in one task."""
-    sizes = materialize(request_bounds(df, request, maximum), "requests")
-    over = sizes.where(~F.col("within_bounds"))
+    """``checked`` with reasons that concern whole requests added to ``reasons``.
+
+    A request is taken or refused as a whole.  All its rows count, broken ones
+    included: above ``maximum`` every row gets ``request:size``, and one broken
+    row gives the others ``request:refused``.  Rows without a request id get
+    ``request:key``.  No row is left out, and a huge request never meets in one
+    task.  ``checked`` is read twice, so it should be a written table.
+    """
+    keyed = checked.where(F.col(request).isNotNull())
+    sizes = keyed.groupBy(request).agg(
+        F.count("*").alias("n"), (F.count_if(F.size(REASONS) > 0) > 0).alias("__flawed")
+    )
+    over = F.col("n") > maximum
+    refused = materialize(
+        sizes.where(over | F.col("__flawed")).select(request, "n", over.alias("__over")), "refused"
+    )
     bound = {} if broadcast_rows is None else {"broadcast_rows": broadcast_rows}
-    joined = left_lookup(df, over, [request], "n", **bound)
-    return joined.where(F.col("within_bounds").isNull()).drop("within_bounds")
+    joined = left_lookup(keyed, refused, [request], "n", **bound)
+    joined = joined.unionByName(checked.where(F.col(request).isNull()).withColumn("__over", F.lit(None).cast("boolean")))
+    more = F.array_compact(
+        F.array(
+            F.when(F.col(request).isNull(), F.lit("request:key")),
+            F.when(F.col("__over"), F.lit("request:size")),
+            F.when(~F.col("__over") & (F.size(REASONS) == 0), F.lit("request:refused")),
+        )
+    )
+    return joined.withColumn(REASONS, F.concat(REASONS, more)).select(*checked.columns)
 
 
 def priority_rank(
@@ -185,7 +213,7 @@ def priority_rank(
 ) -> DataFrame:
     """Rank 1 for the lowest score of a request, ties in input order.
 
-    Requests must be within bounds (``bounded_requests``): one request is then
+    Requests must be within bounds (``judged_requests``): one request is then
     at most MAX_REQUEST_ROWS rows.  For larger groups use ``global_rank``.
     """
     window = Window.partitionBy(request).orderBy(score, input_index)
@@ -228,12 +256,22 @@ def score_rows(df: DataFrame, model: PipelineModel, score: str = "p") -> DataFra
 
 
 def score_batch(
-    df: DataFrame,
+    checked: DataFrame,
     model: PipelineModel,
     request: str,
     input_index: str,
     maximum: int = MAX_REQUEST_ROWS,
-) -> DataFrame:
-    """Score the rows of bounded requests and rank them inside each request."""
-    scored = score_rows(bounded_requests(df, request, maximum), model)
-    return priority_rank(scored, request, "p", input_index)
+) -> tuple[DataFrame, DataFrame]:
+    """Scored and rejected rows of checked requests; together they are all rows.
+
+    Rows of accepted requests are scored and ranked inside their request.  Both
+    tables are written, and the scores are judged, before anything is returned.
+    Rows without a ``reasons`` column count as checked without a finding.
+    """
+    if REASONS not in checked.columns:
+        checked = checked.withColumn(REASONS, F.array().cast("array<string>"))
+    judged = materialize(judged_requests(materialize(checked, "checked"), request, maximum), "judged")
+    good = accepted(judged)
+    scored = materialize(priority_rank(score_rows(good, model), request, "p", input_index), "scored")
+    require_sane_scores(scored, "p", good.count())
+    return scored, rejected(judged)

@@ -109,6 +109,21 @@ def _assign(df: DataFrame, identifier: str, salt: str, output: str, value: Colum
     return df.withColumn(_KEY, hash_key(identifier, salt)).withColumn(output, value).drop(_KEY)
 
 
+def _with_quotas(
+    assigned: DataFrame, identifier: str, label: str, output: str, wanted: dict[tuple[object, object], int]
+) -> DataFrame:
+    """The assigned rows, if each part has its quota; repeated or NULL identifiers break it."""
+    found = {}
+    # One row per class and part.
+    for row in assigned.groupBy(label, output).agg(F.count("*"), F.count_if(F.col(identifier).isNull())).collect():
+        found[row[0], row[1]] = row[2]
+        if row[3]:
+            raise ContractError(f"{identifier} must not be NULL")
+    if found != {part: n for part, n in wanted.items() if n}:
+        raise ContractError(f"{identifier} must be unique: rows with the same one cannot be split by quota")
+    return assigned
+
+
 def development_quotas(sizes: dict[object, int], test_size: float) -> dict[object, int]:
     """Development rows per class: proportional, leftovers to the largest remainders."""
     total = sum(sizes.values())
@@ -135,7 +150,7 @@ def stratified_split(
     order or partitioning.  Identifiers must be unique.
     """
     if not 0 < test_size < 0.5:
-        raise ValueError("test_size must be greater than 0 and less than 0.5")
+        raise ValueError("test_size takes a share between 0 and 0.5, both excluded")
     if isinstance(seed, bool) or not isinstance(seed, int):
         raise TypeError("seed must be an integer")
     salt = str(seed)
@@ -154,7 +169,8 @@ def stratified_split(
             (F.col(label) == F.lit(cls)) & _at_or_before(identifier, cut)
         )
     value = F.when(in_development, F.lit(DEVELOPMENT)).otherwise(F.lit(TEST))
-    return _assign(df, identifier, salt, output, value)
+    wanted = {(cls, part): n for cls in sizes for part, n in ((DEVELOPMENT, quotas[cls]), (TEST, sizes[cls] - quotas[cls]))}
+    return _with_quotas(_assign(df, identifier, salt, output, value), identifier, label, output, wanted)
 
 
 def fold_sizes(sizes: dict[object, int], folds: int) -> dict[object, list[int]]:
@@ -202,7 +218,8 @@ def stratified_folds(
             cut = cuts[cls][places[number - 1]]
             before = before | ((F.col(label) == F.lit(cls)) & _at_or_before(identifier, cut))
         fold = F.when(before, F.lit(number)).otherwise(fold)
-    return _assign(df, identifier, salt, output, fold)
+    wanted = {(cls, i): n for cls, per_fold in fold_sizes(sizes, folds).items() for i, n in enumerate(per_fold, start=1)}
+    return _with_quotas(_assign(df, identifier, salt, output, fold), identifier, label, output, wanted)
 
 
 def id_digest(identifier: str) -> list[Column]:
@@ -220,19 +237,6 @@ def id_digest(identifier: str) -> list[Column]:
     return [F.sha2(text, 256).alias("id_digest")]
 
 
-def exact_id_sha256(df: DataFrame, identifier: str, max_rows: int = 100_000) -> str:
-    """SHA-256 of the sorted identifiers joined by newlines; for small tables only.
-
-    The value chains over one sorted list, so it is refused above ``max_rows``;
-    ``id_digest`` has no such bound.
-    """
-    if df.count() > max_rows:
-        raise ContractError(f"exact_id_sha256 takes at most {max_rows} rows; use id_digest")
-    ids = F.array_sort(F.collect_list(F.col(identifier)))
-    text = F.array_join(F.transform(ids, lambda value: value.cast("string")), "\n")
-    return df.agg(F.sha2(text, 256)).first()[0]
-
-
 def split_manifest(df: DataFrame, identifier: str, label: str, split: str = "split") -> DataFrame:
     """Rows, positives, rate and identifier fingerprint per partition."""
     return df.groupBy(split).agg(

@@ -6,15 +6,14 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabloom.contracts import PEOPLE
 from tabloom.functions.clean import binary_label, clean_text, remap, safe_double, safe_long
-from tabloom.operators import capacity, crossval, fairness, features, quality, ranking, scoring, search, split
+from tabloom.operators import capacity, crossval, fairness, features, prefix, quality, ranking, scoring, search, split
 from tabloom.plans import modeling, views
 from tabloom.scratch import materialize, scratch_path
 from tabloom.sources import csv, manifests, registry, tables
@@ -37,6 +36,26 @@ LOGISTIC = {
     "logistic_l1_ratio": "0.0",
     "logistic_class_weight": "balanced",
 }
+FOREST = {
+    **{name: LOGISTIC[name] for name in ("preprocessing_strategy", "include_city", "min_category_frequency")},
+    "model_name": "random_forest",
+    "rf_n_estimators": "20",
+    "rf_max_depth": "6",
+    "rf_min_samples_leaf": "5",
+    "rf_max_features": "sqrt",
+    "rf_class_weight": "balanced",
+}
+BOOSTING = {
+    **{name: LOGISTIC[name] for name in ("preprocessing_strategy", "include_city", "min_category_frequency")},
+    "model_name": "gradient_boosting",
+    "gbt_n_estimators": "10",
+    "gbt_learning_rate": "0.1",
+    "gbt_max_depth": "4",
+    "gbt_min_child_samples": "10",
+    "gbt_subsample": "1.0",
+    "gbt_colsample_bytree": "1.0",
+    "gbt_class_weight": "none",
+}
 CONTRACT = {"source_sha256": "a", "cv_folds": 5, "random_state": 42, "search_space_version": 1}
 REQUEST = scoring.request_contract(PEOPLE, {"city": (6, 20)})
 
@@ -117,9 +136,9 @@ def report_catalog(spark: SparkSession, folder: str) -> DataFrame:
     """Reports written per user, one event writing one report."""
     events = views.table(spark, folder, "events")
     names = F.array(*[F.lit(name) for name in views.REPORTS])
-    written = events.where("event_type <> 'error'").select(
-        "user_id", F.element_at(names, (F.col("event_id") % len(views.REPORTS) + 1).cast("int")).alias("report_name")
-    )
+    name = F.element_at(names, (F.col("event_id") % len(views.REPORTS) + 1).cast("int"))
+    # An error writes nothing, but its user is one of the runs.
+    written = events.select("user_id", F.when(F.col("event_type") != "error", name).alias("report_name"))
     return manifests.report_catalog(written, "user_id", "report_name", views.REPORTS)
 
 
@@ -133,12 +152,27 @@ def _written_csv(spark: SparkSession, folder: str) -> str:
 def csv_contract(spark: SparkSession, folder: str) -> DataFrame:
     manifest = csv.verify_csv(spark, _written_csv(spark, folder), PEOPLE)
     described = manifest.table(spark)
-    return described.where(F.col("key").isin("row_count", "columns"))
+    # Path, bytes and digest of written files are not known to SQL: their form is compared.
+    form = F.when(F.col("key") == "source", F.regexp_extract("value", "tabloom-csv", 0))
+    form = form.when(F.col("key") == "digest", F.length("value").cast("string"))
+    form = form.when(F.col("key") == "size_bytes", (F.col("value").cast("bigint") > 0).cast("string"))
+    return described.select("key", form.otherwise(F.col("value")).alias("value"))
 
 
 def file_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    files = csv.file_manifest(spark, _written_csv(spark, folder))
-    return files.select(F.length("sha256").alias("digest_length"), "size_bytes", "sha256")
+    """Files of document texts: how many bytes they hold, and the form of their digests.
+
+    Spark decides how many files it writes, so they are summed up.
+    """
+    path = scratch_path(spark, "texts")
+    texts = views.table(spark, folder, "documents").select(F.regexp_replace("text", "[\\r\\n]", " ").alias("value"))
+    texts.write.text(path)
+    files = csv.file_manifest(spark, path).where(F.col("size_bytes") > 0)
+    return files.agg(
+        F.sum("size_bytes").cast("bigint").alias("size_bytes"),
+        F.min(F.length("sha256")).alias("digest_length"),
+        (F.count_distinct("path") == F.count("*")).alias("paths_differ"),
+    )
 
 
 def load_raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -270,7 +304,7 @@ def standard_scale(spark: SparkSession, folder: str) -> DataFrame:
 
 def document_scale(spark: SparkSession, folder: str) -> DataFrame:
     documents = views.table(spark, folder, "documents")
-    counts = features.FitCounts(None, features.value_counts(documents, ["n_chars"]))
+    counts = features.FitCounts(None, *features.numeric_counts(documents, ["n_chars"]))
     fit = features.fit_numeric(counts, ["n_chars"])["n_chars"]
     return rounded(documents.select("doc_id", fit.scaled("n_chars").alias("scaled")), "scaled").withColumn(
         "median", F.lit(fit.median)
@@ -339,25 +373,38 @@ def scored(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rank_all(spark: SparkSession, folder: str) -> DataFrame:
-    return scoring.rank_all(scored(spark, folder).select(ID, "p"), "p", ID).select(ID, "rank")
+    return scoring.rank_all(views.all_scored(spark, folder).select(ID, "p"), "p", ID).select(ID, "rank")
+
+
+def line_rank(spark: SparkSession, folder: str) -> DataFrame:
+    """Rank of every order line by price: more rows than one part of the global order takes."""
+    lines = views.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    order = [F.col(name) for name in ("l_extendedprice", "l_orderkey", "l_linenumber")]
+    return prefix.global_rank(lines, order).select("l_orderkey", "l_linenumber", "rank")
+
+
+def value_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranking metrics of a score with about as many distinct values as rows."""
+    curve = ranking.score_curve(views.view(spark, folder, views.VALUE_SCORES, "events"), "y", "p")
+    return rounded(ranking.ranking_metrics(curve).select("rows", "average_precision", "roc_auc"), "average_precision", "roc_auc")
 
 
 def priority_rank(spark: SparkSession, folder: str) -> DataFrame:
-    rows = scored(spark, folder).select("request_id", "input_index", "p")
-    bounded = scoring.bounded_requests(rows, "request_id")
-    return scoring.priority_rank(bounded, "request_id", "p", "input_index").select(
+    rows = views.all_scored(spark, folder).select("request_id", "input_index", "p")
+    return scoring.priority_rank(rows, "request_id", "p", "input_index").select(
         "request_id", "input_index", "priority_rank"
     )
 
 
 def scored_join(spark: SparkSession, folder: str) -> DataFrame:
-    people = scored(spark, folder)
-    return people.select(ID, "y", "gender").join(people.select(ID, "p"), ID)
+    """Labels aligned with the documents that they judge."""
+    documents = views.table(spark, folder, "documents").select("doc_id", "lang", "n_chars")
+    return documents.join(views.table(spark, folder, "labels"), "doc_id")
 
 
 def classification_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    table = ranking.collapse_scores(scored(spark, folder), "y", "p")
-    return rounded(ranking.classification_metrics(table, THRESHOLD), "recall", "precision", "f1", "f2")
+    metrics = ranking.row_metrics(scored(spark, folder), "y", "p", THRESHOLD)
+    return rounded(metrics, "recall", "precision", "f1", "f2")
 
 
 def brier(spark: SparkSession, folder: str) -> DataFrame:
@@ -391,7 +438,9 @@ def pr_curve(spark: SparkSession, folder: str) -> DataFrame:
 
 def roc_curve(spark: SparkSession, folder: str) -> DataFrame:
     points = ranking.roc_points(ranking.score_curve(scored(spark, folder), "y", "p"))
-    return rounded(points.where(F.col("threshold") < float("inf")), "threshold", "fpr", "tpr")
+    # The origin has no finite threshold; SQL writes it as NULL.
+    shown = points.withColumn("threshold", F.when(F.col("threshold") < float("inf"), F.col("threshold")))
+    return rounded(shown, "threshold", "fpr", "tpr")
 
 
 def confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
@@ -460,16 +509,57 @@ def cv_summary(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(summary, *[name for name in summary.columns if name not in ("cv_folds", "development_rows")])
 
 
+def _is_share(column: str) -> Column:
+    return F.coalesce(F.col(column).between(0, 1), F.lit(False)).alias(column)
+
+
 def cv_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of a cross-validated logistic regression, and which of its metrics are shares.
+
+    SQL cannot fit the models; tests recompute the metrics from written scores.
+    """
     result = crossval.cross_validate_pipeline(
-        labelled_people(spark, folder), PEOPLE, LOGISTIC, folds=3, parallelism=3
+        labelled_people(spark, folder), PEOPLE, LOGISTIC, folds=FOLDS, parallelism=3
+    )
+    shares = ("validation_average_precision_mean", "train_average_precision_mean", "validation_roc_auc_mean", "oof_recall")
+    report = result.summary.select(
+        "cv_folds", "development_rows", "positive_rate", *[_is_share(name) for name in shares]
     )
-    return result.summary
+    return rounded(report, "positive_rate")
 
 
-def final_report(spark: SparkSession, folder: str) -> DataFrame:
+def _final(spark: SparkSession, folder: str, params: dict[str, str]) -> tuple[DataFrame, modeling.FinalModel]:
     people = modeling.split_table(labelled_people(spark, folder), PEOPLE)
-    return modeling.fit_final(people, PEOPLE, LOGISTIC, THRESHOLD).holdout
+    return people, modeling.fit_final(people, PEOPLE, params, THRESHOLD)
+
+
+def final_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The metrics of a hold-out report that do not depend on the model, and which others are finite."""
+    report = _final(spark, folder, LOGISTIC)[1].holdout
+    fixed = F.col("metric").isin("rows", "positive_rate", "threshold") | F.col("metric").rlike("selected_rows|baseline_rate")
+    return rounded(
+        report.select(
+            "metric", F.when(fixed, F.col("value")).alias("value"), (F.abs("value") < float("inf")).alias("finite")
+        ),
+        "value",
+    )
+
+
+def _tree_report(params: dict[str, str], spark: SparkSession, folder: str) -> DataFrame:
+    """Size of a fitted tree model, and how its scores of the test rows are spread."""
+    final = _final(spark, folder, params)[1]
+    fitted = final.model.stages[-1]
+    deepest = max(tree.depth for tree in fitted.trees)
+    limit = int(next(value for name, value in params.items() if name.endswith("max_depth")))
+    return final.scores.agg(
+        F.lit(params["model_name"]).alias("model_name"),
+        F.lit(len(fitted.trees)).alias("trees"),
+        F.lit(1 <= deepest <= limit).alias("within_depth"),
+        F.count("*").alias("rows"),
+        F.sum(F.col(PEOPLE.label).cast("bigint")).alias("positives"),
+        F.count_if(~F.col("p").between(0, 1)).alias("outside"),
+        (F.count_distinct("p") > 1).alias("scores_differ"),
+    )
 
 
 # --- search ----------------------------------------------------------------
@@ -515,24 +605,33 @@ def finite_metrics(spark: SparkSession, folder: str) -> DataFrame:
 # --- scoring ---------------------------------------------------------------
 
 
-def _formula_model() -> PipelineModel:
-    """Stand-in for a fitted pipeline whose scores SQL can reproduce."""
-    return PipelineModel(
-        stages=[
-            SQLTransformer(
-                statement="SELECT *, CAST((event_id * 7919) % 1009 AS DOUBLE) / 1009 AS probability FROM __THIS__"
-            )
-        ]
-    )
+def _registered_model(spark: SparkSession, folder: str) -> PipelineModel:
+    """A logistic regression fitted on the people, registered and loaded by its alias."""
+    people, final = _final(spark, folder, LOGISTIC)
+    store = registry.ModelRegistry(spark, scratch_path(spark, "registry"))
+    version = store.register("people", final.model, people, features=PEOPLE.features, source_sha256=views.SOURCE_SHA256)
+    store.promote("people", "candidate", version, people)
+    return store.load("people", "candidate")
 
 
 def _keyed(requests: DataFrame) -> DataFrame:
-    return requests.withColumns(
-        {
-            "request_id": F.floor(F.col("event_id") / 100).cast("bigint"),
-            "input_index": F.col("event_id") % 100,
-        }
+    return requests.withColumn("request_id", F.expr(views.REQUEST_ID))
+
+
+def _fates(scored: DataFrame, rejected: DataFrame) -> DataFrame:
+    """What became of every candidate; ranks are checked against the scores that SQL cannot know."""
+    request = Window.partitionBy("request_id")
+    before = F.lag("p").over(request.orderBy("priority_rank"))
+    judged = scored.select(
+        "event_id", "request_id", F.lit("scored").alias("status"), F.lit("").alias("reasons"),
+        F.col("p").between(0, 1).alias("valid"),
+        (F.coalesce(before <= F.col("p"), F.lit(True)) & F.col("priority_rank").between(1, F.count("*").over(request))).alias("ranked"),
     )
+    refused = rejected.select(
+        "event_id", "request_id", F.lit("rejected").alias("status"), F.array_join(scoring.REASONS, ";").alias("reasons"),
+        F.lit(None).cast("boolean").alias("valid"), F.lit(None).cast("boolean").alias("ranked"),
+    )
+    return judged.unionByName(refused)
 
 
 def request_contract(spark: SparkSession, folder: str) -> DataFrame:
@@ -559,12 +658,9 @@ def score_sanity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def score_batch(spark: SparkSession, folder: str) -> DataFrame:
-    checked = scoring.parse_requests(views.requests(spark, folder), "payload", REQUEST)
-    good = _keyed(scoring.checked_requests(checked)[0])
-    ranked = scoring.score_batch(good, _formula_model(), "request_id", "input_index")
-    return rounded(
-        ranked.select("request_id", "input_index", "p", "complement", "priority_rank"), "p", "complement"
-    )
+    checked = scoring.parse_requests(_keyed(views.requests(spark, folder)), "payload", REQUEST)
+    model = _registered_model(spark, folder)
+    return _fates(*scoring.score_batch(checked, model, "request_id", "event_id"))
 
 
 def stream_score(spark: SparkSession, folder: str) -> DataFrame:
@@ -573,23 +669,21 @@ def stream_score(spark: SparkSession, folder: str) -> DataFrame:
     query = score_stream(
         requests,
         partial(scoring.parse_requests, payload="payload", contract=REQUEST),
-        _formula_model(),
+        _registered_model(spark, folder),
         "request_id",
-        "input_index",
+        "event_id",
         target,
         bad,
         scratch_path(spark, "stream"),
     )
     query.awaitTermination()
-    done = read_batches(
-        spark, target, "request_id bigint, input_index bigint, p double, complement double, priority_rank bigint"
-    )
-    return rounded(done, "p", "complement")
+    done = read_batches(spark, target, "event_id bigint, request_id bigint, p double, priority_rank bigint")
+    refused = read_batches(spark, bad, "event_id bigint, request_id bigint, reasons array<string>")
+    return _fates(done, refused)
 
 
 def model_info(spark: SparkSession, folder: str) -> DataFrame:
-    people = modeling.split_table(labelled_people(spark, folder), PEOPLE)
-    final = modeling.fit_final(people, PEOPLE, LOGISTIC, THRESHOLD)
+    people, final = _final(spark, folder, LOGISTIC)
     store = registry.ModelRegistry(spark, scratch_path(spark, "registry"))
     metrics = {f"test_{row['metric']}": row["value"] for row in final.holdout.collect()}
     version = store.register(
@@ -597,8 +691,11 @@ def model_info(spark: SparkSession, folder: str) -> DataFrame:
         source_sha256=views.SOURCE_SHA256, preprocessing=final.encoder.config.name,
     )
     store.promote("people", "candidate", version, people)
+    named = F.transform_values("parameters", lambda name, value: F.concat_ws("=", name, value))
     return store.describe("people", "candidate").select(
-        "name", "version", "alias", "preprocessing", "source_sha256", "features", "parameters", "test_metrics"
+        "name", "version", "alias", "preprocessing", "source_sha256", F.array_join("features", ",").alias("features"),
+        F.array_join(F.array_sort(F.map_values(named)), ",").alias("parameters"),
+        F.element_at("test_metrics", "test_rows").alias("test_rows"),
     )
 
 
@@ -638,6 +735,8 @@ QUERIES: dict[str, Query] = {
     "feature_counts": feature_counts,
     "feature_matrix": feature_matrix,
     "global_rank": rank_all,
+    "line_rank": line_rank,
+    "value_ranking": value_ranking,
     "priority_rank": priority_rank,
     "scored_join": scored_join,
     "classification_metrics": classification_metrics,
@@ -660,6 +759,8 @@ QUERIES: dict[str, Query] = {
     "cv_summary": cv_summary,
     "cv_report": cv_report,
     "final_report": final_report,
+    "forest_report": partial(_tree_report, FOREST),
+    "boosting_report": partial(_tree_report, BOOSTING),
     "initial_designs": initial_designs,
     "trial_candidates": trial_candidates,
     "trial_params": trial_params,

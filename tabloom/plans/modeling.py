@@ -9,11 +9,11 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.contracts import ContractError, TableContract
-from tabloom.operators.capacity import capacity_metrics
+from tabloom.operators.capacity import CURVE_FRACTIONS, capacity_metrics
 from tabloom.operators.crossval import (
     CrossValidation,
     balanced_weight,
@@ -26,6 +26,7 @@ from tabloom.operators.features import (
     encoder_pipeline,
     fit_counts,
     fit_encoder,
+    fit_numeric,
     preprocessing_candidates,
 )
 from tabloom.operators.learners import (
@@ -35,7 +36,14 @@ from tabloom.operators.learners import (
     positive_probability,
     preprocessing_from_params,
 )
-from tabloom.operators.ranking import classification_metrics, ranking_metrics, score_curve
+from tabloom.operators.ranking import (
+    classification_metrics,
+    confusion_matrix,
+    precision_recall_points,
+    ranking_metrics,
+    roc_points,
+    score_curve,
+)
 from tabloom.operators.search import (
     COMPLETE,
     SEARCH_SPACE_VERSION,
@@ -81,9 +89,9 @@ def prepare(df: DataFrame, contract: TableContract, test_size: float = TEST_SIZE
     """Encoded width of each preprocessing candidate, fitted on development rows."""
     split = split_table(df, contract, test_size, seed)
     counts = fit_counts(split.where(F.col("split") == DEVELOPMENT), contract)
-    rows = []
+    rows, numeric = [], fit_numeric(counts, contract.numeric)
     for config in preprocessing_candidates():
-        encoder = fit_encoder(counts, contract, config)
+        encoder = fit_encoder(counts, contract, config, numeric=numeric)
         rows.append(
             (
                 config.name, config.strategy, config.include_city, config.min_category_frequency,
@@ -206,12 +214,15 @@ class Study:
 
 def check_tuning(target_trials: int, cv_folds: int, timeout_minutes: float) -> None:
     """Refuse a search that could not try every design or would never stop."""
-    if target_trials < len(initial_designs()):
-        raise ValueError(f"target_trials must be at least {len(initial_designs())}, one per design")
-    if cv_folds < 3:
-        raise ValueError("cv_folds must be at least 3")
-    if timeout_minutes <= 0:
-        raise ValueError("timeout_minutes must be greater than zero")
+    designs = len(initial_designs())
+    limits = {
+        f"a search tries each of the {designs} designs": target_trials >= designs,
+        "a trial needs three folds or more": cv_folds >= 3,
+        "a search needs some time": timeout_minutes > 0,
+    }
+    broken = [rule for rule, holds in limits.items() if not holds]
+    if broken:
+        raise ValueError("; ".join(broken))
 
 
 def tune(
@@ -327,6 +338,7 @@ class FinalModel:
     holdout: DataFrame
     fairness: DataFrame
     gaps: DataFrame
+    scores: DataFrame
 
 
 def fit_final(
@@ -364,9 +376,45 @@ def fit_final(
         holdout_report(scored, contract.identifier, label, "p", threshold),
         fairness,
         fairness_gaps(fairness),
+        scored,
     )
 
 
+def reviewed_trial(study: Study) -> Row:
+    """The best trial of the written selection summary, which must belong to this study.
+
+    The summary is what a person has looked at, so it decides, not the trials
+    that came after it; its trial must still be stored with the same parameters.
+    """
+    require_study_contract(study.trials(), study.contract)
+    try:
+        summary = study.spark.read.json(f"{study.reports}/model_selection_summary").first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise ContractError("the study has no selection summary; run the search first") from None
+    wanted = {"schema_version": 1, "study": study.name, "source_sha256": study.source_sha256, "test_set_used": False}
+    broken = sorted(name for name, value in wanted.items() if summary[name] != value)
+    if broken:
+        raise ContractError("the selection summary belongs to something else: " + ", ".join(broken))
+    best = summary["best_trial"]
+    trial = study.trials().where((F.col("trial") == best["trial"]) & (F.col("state") == COMPLETE)).first()
+    if trial is None or dict(trial["params"]) != json.loads(best["params"]):
+        raise ContractError(f"trial {best['trial']} of the selection summary is not stored as reviewed")
+    return trial
+
+
+def write_curves(final: FinalModel, contract: TableContract, threshold: float, folder: str) -> None:
+    """The curve reports of a final model, from its written scores."""
+    label = contract.label
+    curve = score_curve(final.scores, label, "p")
+    capacities = capacity_metrics(final.scores, contract.identifier, label, "p", CURVE_FRACTIONS, curve)
+    write_report(precision_recall_points(curve), f"{folder}/precision_recall_curve")
+    write_report(roc_points(curve), f"{folder}/roc_curve")
+    write_report(confusion_matrix(final.scores, label, "p", threshold), f"{folder}/confusion_matrix")
+    write_report(capacities, f"{folder}/capacity_curve")
+
+
 def finalize(
     df: DataFrame,
     contract: TableContract,
@@ -375,14 +423,18 @@ def finalize(
     model_name: str,
     allow_test_reevaluation: bool = False,
 ) -> FinalModel:
-    """Evaluate the best trial on the test rows once and register it as candidate."""
+    """Evaluate the reviewed trial on the test rows once and register it as candidate.
+
+    The evaluation is recorded before the test rows are read: a crash later on
+    does not allow a second look.
+    """
     spark = study.spark
     evaluated = _read_or_empty(spark, f"{study.store}/evaluations", "study string, trial bigint")
     if not evaluated.isEmpty() and not allow_test_reevaluation:
         raise ContractError("the test rows were already evaluated; do not reuse them for selection")
-    best = top_trials(study.trials(), 1).first()
-    if best is None:
-        raise ContractError("the study has no completed trial")
+    best = reviewed_trial(study)
+    done = spark.createDataFrame([(study.name, best["trial"])], "study string, trial bigint")
+    done.write.mode("append").parquet(f"{study.store}/evaluations")
     split = split_table(df, contract, seed=study.seed)
     final = fit_final(split, contract, best["params"], best["metrics"]["oof_threshold"], study.seed)
     metrics = {
@@ -406,6 +458,5 @@ def finalize(
     write_report(final.holdout, f"{study.reports}/final_evaluation")
     write_report(final.fairness, f"{study.reports}/fairness_by_group")
     write_report(final.gaps, f"{study.reports}/fairness_gaps")
-    done = spark.createDataFrame([(study.name, best["trial"])], "study string, trial bigint")
-    done.write.mode("append").parquet(f"{study.store}/evaluations")
+    write_curves(final, contract, best["metrics"]["oof_threshold"], study.reports)
     return final

@@ -15,8 +15,9 @@ from tabloom.contracts import (
     RELEVANT_EXPERIENCE,
 )
 from tabloom.operators.capacity import CURVE_FRACTIONS
+from tabloom.operators.scoring import MAX_REQUEST_ROWS
 from tabloom.operators.search import SEARCH_SPACE
-from tabloom.plans import views
+from tabloom.plans import catalogue, views
 
 EXPECTED_ROWS = 19158
 TEXT_COLUMNS = [
@@ -41,6 +42,7 @@ def names(values: tuple[str, ...]) -> str:
 
 
 RAW = views.RAW_PEOPLE.format(events="events")
+EVERYONE = views.ALL_SCORED.format(events="events")
 SCORED = views.SCORED_PEOPLE.format(events="events")
 LABELS = views.DOC_LABELS.format(documents="documents", labels="labels")
 TRIALS = views.TRIALS.format(events="events")
@@ -482,13 +484,55 @@ def request_rules(typed: bool) -> str:
 
 
 _CHECKED = f"SELECT *, {request_rules(False)} AS reasons FROM f"
-_BATCH = """
-SELECT CAST(floor(event_id / 100) AS BIGINT) AS request_id, event_id % 100 AS input_index,
-       round(p, 6) AS p, round(1 - p, 6) AS complement,
-       row_number() OVER (PARTITION BY floor(event_id / 100) ORDER BY p, event_id % 100) AS priority_rank
-FROM (SELECT event_id, CAST((event_id * 7919) % 1009 AS DOUBLE) / 1009 AS p FROM x WHERE reasons = '')
+_BATCH = f"""
+SELECT event_id, r.request_id, CASE WHEN why = '' THEN 'scored' ELSE 'rejected' END AS status, why AS reasons,
+       CASE WHEN why = '' THEN true END AS valid, CASE WHEN why = '' THEN true END AS ranked
+FROM (
+  SELECT event_id, x.request_id, concat_ws(';', nullif(reasons, ''),
+    CASE WHEN x.request_id IS NULL THEN 'request:key' WHEN z.n > {MAX_REQUEST_ROWS} THEN 'request:size'
+         WHEN z.flawed AND reasons = '' THEN 'request:refused' END) AS why
+  FROM y x LEFT JOIN (SELECT request_id, count(*) AS n, bool_or(reasons <> '') AS flawed FROM y GROUP BY request_id) z
+    ON z.request_id = x.request_id
+) r
 """
-BATCH = with_tables(_BATCH, q=REQUESTS, f=request_fields(), x=_CHECKED)
+_KEYED = f"SELECT event_id, reasons, {views.REQUEST_ID} AS request_id FROM x"
+BATCH = with_tables(_BATCH, q=REQUESTS, f=request_fields(), x=_CHECKED, y=_KEYED)
+
+_LABELLED = f"SELECT * FROM ({PEOPLE_SQL}) WHERE target IS NOT NULL"
+_HELD_OUT = f"SELECT * FROM ({split_sql('p', 'enrollee_id', 'target', 0.2, 42)}) WHERE split = 'test'"
+
+
+def tree_sql(params: dict[str, str], trees: str) -> str:
+    """Size of a tree model and counts of the test rows."""
+    return with_tables(
+        f"""
+SELECT '{params["model_name"]}' AS model_name, {params[trees]} AS trees, true AS within_depth, count(*) AS rows,
+       sum(target)::BIGINT AS positives, 0::BIGINT AS outside, true AS scores_differ FROM t
+""",
+        p=_LABELLED, t=_HELD_OUT,
+    )
+
+
+_FINAL = "SELECT 'rows' AS metric, count(*)::DOUBLE AS value, true AS finite FROM t" + "".join(
+    f" UNION ALL SELECT '{name}', {value}, true" + (" FROM t" if "(" in value else "")
+    for name, value in (
+        ("positive_rate", "round(avg(target), 6)"),
+        ("threshold", str(catalogue.THRESHOLD)),
+        *((name, "NULL") for name in ("average_precision", "roc_auc", "brier_score", "recall", "precision", "f1", "f2")),
+        *(
+            (f"capacity_{fraction * 100:.0f}_{part}", value)
+            for fraction in catalogue.FRACTIONS
+            for part, value in (
+                ("selected_rows", f"greatest(1, round_even(count(*) * {fraction}::DOUBLE, 0))::DOUBLE"),
+                ("baseline_rate", "round(avg(target), 6)"),
+                ("selected_rate", "NULL"),
+                ("absolute_reduction", "NULL"),
+                ("relative_reduction", "NULL"),
+            )
+        ),
+    )
+)
+_PARAMETERS = ",".join(sorted(f"{name}={value}" for name, value in catalogue.LOGISTIC.items()))
 
 _DOC_ENTRIES = """
 SELECT doc_id, unnest(['sha256', 'size_chars', 'lang', 'source']) AS key,
@@ -497,6 +541,25 @@ SELECT doc_id, unnest(['sha256', 'size_chars', 'lang', 'source']) AS key,
 _REPORT_LIST = names(views.REPORTS)
 
 ORACLES: dict[str, str] = {
+    "file_manifest": """
+SELECT sum(octet_length(encode(text)) + 1)::BIGINT AS size_bytes, 64 AS digest_length, true AS paths_differ FROM documents
+""",
+    "cv_report": f"""
+SELECT {catalogue.FOLDS}::BIGINT AS cv_folds, count(*) AS development_rows, round(avg(target), 6) AS positive_rate,
+       true AS validation_average_precision_mean, true AS train_average_precision_mean,
+       true AS validation_roc_auc_mean, true AS oof_recall FROM ({_LABELLED})
+""",
+    "final_report": with_tables(_FINAL, p=_LABELLED, t=_HELD_OUT),
+    "forest_report": tree_sql(catalogue.FOREST, "rf_n_estimators"),
+    "boosting_report": tree_sql(catalogue.BOOSTING, "gbt_n_estimators"),
+    "model_info": with_tables(
+        f"""
+SELECT 'people' AS name, 1::BIGINT AS version, 'candidate' AS alias, 'ordinal_aware_without_city' AS preprocessing,
+       '{views.SOURCE_SHA256}' AS source_sha256, '{",".join(PEOPLE.features)}' AS features,
+       '{_PARAMETERS}' AS parameters, count(*)::DOUBLE AS test_rows FROM t
+""",
+        p=_LABELLED, t=_HELD_OUT,
+    ),
     "clean_strings": f"SELECT {', '.join(f'''nullif(trim({name}), '') AS {name}''' for name in PEOPLE.raw_columns)}"
                      f" FROM ({RAW})",
     "typed_cast": f"SELECT enrollee_id, city_development_index, training_hours, target, target::TINYINT AS label"
@@ -519,13 +582,16 @@ FROM e FULL JOIN s USING (doc_id, key) WHERE s.value IS DISTINCT FROM e.value
     ),
     "report_catalog": f"""
 WITH w AS (SELECT DISTINCT user_id, [{_REPORT_LIST}][event_id % 7 + 1] AS report FROM events WHERE event_type <> 'error')
-SELECT u.user_id, n.report, w.report IS NOT NULL AS present, true AS any_report
-FROM (SELECT DISTINCT user_id FROM w) u CROSS JOIN (SELECT unnest([{_REPORT_LIST}]) AS report) n
+SELECT u.user_id, n.report, w.report IS NOT NULL AS present, u.user_id IN (SELECT user_id FROM w) AS any_report
+FROM (SELECT DISTINCT user_id FROM events) u CROSS JOIN (SELECT unnest([{_REPORT_LIST}]) AS report) n
 LEFT JOIN w ON w.user_id = u.user_id AND w.report = n.report
 """,
     "csv_contract": f"""
 SELECT 'row_count' AS key, count(*)::VARCHAR AS value FROM events
 UNION ALL SELECT 'columns', '["{'","'.join(PEOPLE.raw_columns)}"]'
+UNION ALL SELECT 'source', 'tabloom-csv'
+UNION ALL SELECT 'digest', '64'
+UNION ALL SELECT 'size_bytes', 'true'
 """,
     "load_raw": f"SELECT {', '.join(f'''nullif(trim({name}), '') AS {name}''' for name in PEOPLE.raw_columns)}"
                 f" FROM ({RAW})",
@@ -629,12 +695,19 @@ FROM documents, (SELECT avg(n_chars) AS mean, stddev_pop(n_chars) AS sd, median(
         _MATRIX, **LABELLED, i=_IMPUTED, g=_SCALING, o=f"SELECT {modes_sql()}", e=_CODED, z=_CODE_SCALING,
         w=words_sql(_ONE_HOT, 10), l=_LONG, act=_ACTIVE,
     ),
-    "global_rank": f"SELECT enrollee_id, row_number() OVER (ORDER BY p, enrollee_id) AS rank FROM ({SCORED})",
+    "global_rank": f"SELECT enrollee_id, row_number() OVER (ORDER BY p, enrollee_id) AS rank FROM ({EVERYONE})",
+    "line_rank": """
+SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_extendedprice, l_orderkey, l_linenumber) AS rank FROM lineitem
+""",
+    "value_ranking": with_tables(
+        f"SELECT sum(n)::BIGINT AS rows, round({AP}, 6) AS average_precision, round({AUC}, 6) AS roc_auc FROM ({curve_sql('s')})",
+        s=views.VALUE_SCORES.format(events="events"),
+    ),
     "priority_rank": f"""
 SELECT request_id, input_index, row_number() OVER (PARTITION BY request_id ORDER BY p, input_index) AS priority_rank
-FROM ({SCORED})
+FROM ({EVERYONE})
 """,
-    "scored_join": f"SELECT enrollee_id, y, gender, p FROM ({SCORED})",
+    "scored_join": "SELECT d.doc_id, lang, n_chars, quality, toxic FROM documents d JOIN labels l ON l.doc_id = d.doc_id",
     "classification_metrics": "SELECT " + ", ".join(
         f"round({value}, 6) AS {name}" for name, value in _THRESHOLD.items()
     ) + f" FROM ({SCORED})",
@@ -667,6 +740,7 @@ UNION ALL SELECT NULL, 1.0, 0.0, round(avg(y), 6) FROM s
         f"""
 SELECT round(p, 6) AS threshold, round(fp / (SELECT sum(1 - y) FROM s), 6) AS fpr,
        round(tp / (SELECT sum(y) FROM s), 6) AS tpr FROM ({curve_sql('s')})
+UNION ALL SELECT NULL, 0.0, 0.0
 """,
         s=SCORED,
     ),

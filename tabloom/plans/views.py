@@ -71,9 +71,8 @@ SELECT
 FROM {{events}}
 """
 
-# Rows without a usable label cannot be judged and are left out.
-SCORED_PEOPLE = f"""
-SELECT * FROM (
+# Every person with a score; some have no usable label.
+ALL_SCORED = f"""
   SELECT
     event_id AS enrollee_id,
     CASE WHEN event_type IN ('purchase', 'signup') THEN 1
@@ -83,10 +82,27 @@ SELECT * FROM (
     CAST(floor(event_id / 100) AS bigint) AS request_id,
     event_id % 100 AS input_index
   FROM {{events}}
-) AS scored
+"""
+
+# Rows without a usable label cannot be judged and are left out.
+SCORED_PEOPLE = f"""
+SELECT * FROM ({ALL_SCORED}) AS scored
 WHERE y IS NOT NULL
 """
 
+# Candidates of each scoring request: most requests have four, one is over the limit, and some rows name none.
+REQUEST_ID = """
+CASE WHEN event_id % 101 = 0 THEN NULL
+     WHEN event_id < 1200 AND event_id % 4 > 0 AND event_id % 2 = 1 THEN -1
+     ELSE CAST(floor(event_id / 4) AS bigint) END
+"""
+
+# Measured values of events as scores of a label: almost every row has its own score.
+VALUE_SCORES = """
+SELECT event_id, CASE WHEN event_type IN ('purchase', 'signup') THEN 1 ELSE 0 END AS y, CAST(value AS double) AS p
+FROM {events} WHERE value IS NOT NULL
+"""
+
 DOC_LABELS = """
 SELECT d.doc_id, l.quality, d.lang, CAST(d.n_chars AS double) AS n_chars
 FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id
@@ -186,6 +202,10 @@ def scored_people(spark: SparkSession, folder: str) -> DataFrame:
     return view(spark, folder, SCORED_PEOPLE, "events")
 
 
+def all_scored(spark: SparkSession, folder: str) -> DataFrame:
+    return view(spark, folder, ALL_SCORED, "events")
+
+
 def doc_labels(spark: SparkSession, folder: str) -> DataFrame:
     return view(spark, folder, DOC_LABELS, "documents", "labels")
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.contracts import ContractError, TableContract
@@ -45,8 +46,12 @@ def file_manifest(spark: SparkSession, path: str, in_memory_bytes: int = IN_MEMO
     small = files.where(F.col("length") <= in_memory_bytes).select(
         "path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256")
     )
+    is_large = F.col("length") > in_memory_bytes
+    # Lengths come from the listing; Python workers start for large files only.
+    if files.select("length").where(is_large).isEmpty():
+        return small
     large = (
-        files.where(F.col("length") > in_memory_bytes)
+        files.where(is_large)
         .select("path", F.col("length").alias("size_bytes"))
         .mapInPandas(_stream_digests, "path string, size_bytes bigint, sha256 string")
     )
@@ -72,9 +77,11 @@ def folder_digest(files: DataFrame, root: str) -> DataFrame:
     """One fingerprint of a folder: relative paths and content, in any order.
 
     Each file's path and hash are hashed together and the 60-bit pieces summed,
-    so any number of files merges without a sorted list in one task.
+    so any number of files merges without a sorted list in one task.  A root
+    that is a file counts by its name, so where it lies does not matter.
     """
-    relative = F.regexp_replace("path", "^.*" + _quote(root.rstrip("/")) + "/", "")
+    below = F.regexp_replace("path", "^.*" + _quote(root.rstrip("/")) + "(/|$)", "")
+    relative = F.when(below == "", F.substring_index("path", "/", -1)).otherwise(below)
     entry = F.sha2(F.concat_ws("\u0000", relative, F.col("sha256")), 256)
     pieces = [
         F.sum(F.conv(F.substring(entry, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")) for i in range(4)
@@ -101,10 +108,13 @@ class CsvManifest:
     size_bytes: int
     row_count: int
     columns: tuple[str, ...]
+    #: SHA-256 of the source if it is one file.
+    sha256: str | None = None
 
     def metadata(self) -> dict[str, str]:
         """The manifest as flat text, columns as a JSON list."""
         plain = asdict(self)
+        del plain["sha256"]
         plain["columns"] = json.dumps(list(self.columns), separators=(",", ":"))
         return {key: str(value) for key, value in plain.items()}
 
@@ -117,10 +127,12 @@ def csv_manifest(spark: SparkSession, path: str, contract: TableContract) -> Csv
     """Read the whole source strictly and describe it."""
     raw = read_raw(spark, path, contract)
     rows = raw.count()
-    files = folder_digest(file_manifest(spark, path), path).first()
+    hashed = file_manifest(spark, path)
+    files = folder_digest(hashed, path).first()
     if not files["files"]:
         raise ContractError(f"{path} is empty")
-    return CsvManifest(path, files["digest"], files["size_bytes"], rows, tuple(raw.columns))
+    sha256 = hashed.first()["sha256"] if files["files"] == 1 else None
+    return CsvManifest(path, files["digest"], files["size_bytes"], rows, tuple(raw.columns), sha256)
 
 
 def verify_csv(
@@ -130,6 +142,7 @@ def verify_csv(
     expected_rows: int | None = None,
     expected_bytes: int | None = None,
     expected_digest: str | None = None,
+    expected_sha256: str | None = None,
 ) -> CsvManifest:
     """Manifest of a CSV source that must match the pinned numbers."""
     manifest = csv_manifest(spark, path, contract)
@@ -137,6 +150,7 @@ def verify_csv(
         ("rows", expected_rows, manifest.row_count),
         ("bytes", expected_bytes, manifest.size_bytes),
         ("digest", expected_digest, manifest.digest),
+        ("file SHA-256", expected_sha256, manifest.sha256),
     ):
         if expected is not None and expected != actual:
             raise ContractError(f"expected {expected} {name}, found {actual}")
@@ -154,30 +168,56 @@ def load_raw(
     return table
 
 
+PUBLISHED = "digest string, folder string, row_count bigint, content string"
+
+
+def _content(df: DataFrame) -> tuple[int, str]:
+    """Rows, and a fingerprint of the rows in any order."""
+    row = df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).cast("string")).first()
+    return row[0], row[1] or "0"
+
+
+def _published(spark: SparkSession, store: str, digest: str) -> Row | None:
+    """The copy of a content that everybody uses: of several, the first by name."""
+    try:
+        copies = spark.read.schema(PUBLISHED).parquet(f"{store}/published")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return copies.where(F.col("digest") == digest).orderBy("folder").first()
+
+
 def acquire(
     spark: SparkSession, path: str, contract: TableContract, store: str, expected: dict[str, str] | None = None
 ) -> tuple[str, bool]:
     """Keep one immutable, verified raw copy per content; returns (folder, reused).
 
-    The copy is written once below its content digest and never replaced.  When
-    it exists already, or a concurrent run created it first, it is checked and
-    reused.
+    A copy is written to a folder of its own, compared with its source row for
+    row by a fingerprint, and only then published in an append-only list.  A run
+    that dies before publishes nothing; two runs at once publish two equal
+    copies, and all runs from then on use the same one.
     """
+    store = store.rstrip("/")
     manifest = csv_manifest(spark, path, contract)
     if expected is not None:
-        found = manifest.metadata()
+        found = manifest.metadata() | {"sha256": manifest.sha256}
         broken = sorted(key for key, value in expected.items() if found.get(key) != value)
         if broken:
             raise ContractError("source conflicts with its pinned contract: " + ", ".join(broken))
-    folder = f"{store.rstrip('/')}/{manifest.digest}"
-    reused = False
-    try:
-        read_raw(spark, path, contract).write.mode("errorifexists").parquet(folder)
-    except AnalysisException as error:
-        if "ALREADY_EXISTS" not in (error.getCondition() or ""):
-            raise
-        reused = True
-    stored = spark.read.parquet(folder)
-    if stored.columns != contract.raw_columns or stored.count() != manifest.row_count:
-        raise ContractError(f"stored raw copy {folder} conflicts with its manifest")
-    return folder, reused
+    known = _published(spark, store, manifest.digest)
+    reused = known is not None
+    if not reused:
+        folder = f"{store}/{manifest.digest}/copy-{uuid.uuid4().hex}"
+        raw = read_raw(spark, path, contract)
+        raw.write.mode("errorifexists").parquet(folder)
+        content = _content(raw)
+        row = (manifest.digest, folder, *content)
+        if _content(spark.read.schema(contract.raw_schema).parquet(folder)) != content:
+            raise ContractError(f"the copy {folder} differs from its source")
+        spark.createDataFrame([row], PUBLISHED).write.mode("append").parquet(f"{store}/published")
+        known = _published(spark, store, manifest.digest)
+    stored = spark.read.parquet(known["folder"])
+    if stored.columns != contract.raw_columns or _content(stored) != (known["row_count"], known["content"]):
+        raise ContractError(f"stored raw copy {known['folder']} conflicts with its manifest")
+    return known["folder"], reused

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tabloom.contracts import ContractError
 
+#: Keys that an error message spells out; it counts the others.
+NAMED_KEYS = 100
+
 
 def manifest_diff(
     expected: DataFrame, actual: DataFrame, keys: Sequence[str] = ("key",), value: str = "value"
@@ -45,14 +48,16 @@ def manifest_diff(
 def require_same_manifest(expected: DataFrame, actual: DataFrame) -> None:
     """Raise with the differing keys of one object; extra keys are allowed."""
     differences = manifest_diff(expected, actual).where(F.col("problem") != "unexpected")
-    rows = differences.orderBy("key").limit(100).collect()
+    rows = differences.orderBy("key").limit(NAMED_KEYS).collect()
     if rows:
         named = ", ".join(f"{row['key']} ({row['problem']})" for row in rows)
-        raise ContractError(f"stored manifest conflicts with its contract: {named}")
+        total = len(rows) if len(rows) < NAMED_KEYS else differences.count()
+        more = f" and {total - len(rows)} more" if total > len(rows) else ""
+        raise ContractError(f"stored manifest conflicts with its contract in {total} keys: {named}{more}")
 
 
 def report_catalog(written: DataFrame, run: str, name: str, expected: Sequence[str]) -> DataFrame:
-    """Which expected reports each run has written."""
+    """Which expected reports each run has written; a run with a NULL name only has none."""
     wanted = F.array(*[F.lit(report) for report in expected])
     present = written.groupBy(run).agg(F.collect_set(F.when(F.col(name).isin(*expected), F.col(name))).alias("__have"))
     return present.select(run, F.explode(wanted).alias("report"), "__have").select(

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.contracts import ContractError
@@ -49,6 +49,13 @@ class ModelRegistry:
     def versions(self) -> DataFrame:
         return self._table("versions", VERSION_SCHEMA)
 
+    def _single(self, name: str, version: int) -> Row:
+        """The entry of a version; none, or a clash of two runs, is an error."""
+        rows = self.versions().where((F.col("name") == name) & (F.col("version") == version)).limit(2).collect()
+        if len(rows) != 1:
+            raise ContractError(f"{name} has no version {version}" if not rows else f"two runs registered version {version} of {name}")
+        return rows[0]
+
     def aliases(self) -> DataFrame:
         """Current version per name and alias: the latest entry wins."""
         entries = self._table("aliases", ALIAS_SCHEMA)
@@ -69,7 +76,8 @@ class ModelRegistry:
         test_metrics: Mapping[str, float] | None = None,
     ) -> int:
         """Save the pipeline as the next version, with signature and example rows."""
-        version = (self.versions().where(F.col("name") == name).agg(F.max("version")).first()[0] or 0) + 1
+        # A number that two runs took at once is used by neither: both find the clash after they append.
+        version = (self._table("versions", VERSION_SCHEMA).where(F.col("name") == name).agg(F.max("version")).first()[0] or 0) + 1
         path = f"{self.root}/models/{name}/version={version}-{uuid.uuid4().hex}"
         model.write().save(path)
         sample = example.select(*features).limit(5)
@@ -91,12 +99,14 @@ class ModelRegistry:
             )
         ]
         self.spark.createDataFrame(rows, VERSION_SCHEMA).write.mode("append").parquet(f"{self.root}/versions")
+        same = self.versions().where((F.col("name") == name) & (F.col("version") == version))
+        if same.count() > 1:
+            raise ContractError(f"another run registered version {version} of {name} at the same time; register again")
         return version
 
     def set_alias(self, name: str, alias: str, version: int) -> None:
         """Point an alias at an existing version; older entries stay."""
-        if self.versions().where((F.col("name") == name) & (F.col("version") == version)).isEmpty():
-            raise ContractError(f"{name} has no version {version}")
+        self._single(name, version)
         last = self._table("aliases", ALIAS_SCHEMA).agg(F.max("sequence")).first()[0] or 0
         entry = [(name, alias, version, last + 1)]
         self.spark.createDataFrame(entry, ALIAS_SCHEMA).write.mode("append").parquet(f"{self.root}/aliases")
@@ -117,14 +127,7 @@ class ModelRegistry:
 
         The previous version stays on storage, so a failing one changes nothing.
         """
-        row = (
-            self.versions()
-            .where((F.col("name") == name) & (F.col("version") == version))
-            .select("model_path")
-            .first()
-        )
-        if row is None:
-            raise ContractError(f"{name} has no version {version}")
+        row = self._single(name, version)
         PipelineModel.load(row["model_path"]).transform(probe.limit(1)).collect()
         self.set_alias(name, alias, version)
 

@@ -8,14 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tabloom.operators.scoring import (
-    bounded_requests,
-    checked_requests,
-    priority_rank,
-    require_sane_scores,
-    score_rows,
-)
-from tabloom.scratch import materialize
+from tabloom.operators.scoring import score_batch
 
 
 def score_stream(
@@ -28,22 +21,18 @@ def score_stream(
     rejected_path: str,
     checkpoint: str,
 ) -> StreamingQuery:
-    """Validate, score and rank each micro-batch; bad rows go to their own sink.
+    """Validate, score and rank each micro-batch; rows of refused requests go to their own sink.
 
-    ``check`` adds the ``reasons`` column.  A rank needs the whole request, so a
-    request must arrive in one micro-batch.  Output is keyed by batch id and
-    replaced when a batch is run again, which makes a restart exact.
+    ``check`` adds the ``reasons`` column.  Every row reaches one of the sinks,
+    and scores are judged before anything is published.  A rank needs the whole
+    request, so a request must arrive in one micro-batch.  Output is keyed by
+    batch id and replaced when a batch is run again, which makes a restart exact.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        good, bad = checked_requests(check(batch))
-        bad.write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
-        bounded = materialize(bounded_requests(good, request), "bounded")
-        scored = priority_rank(score_rows(bounded, model), request, "p", input_index)
-        target = f"{scored_path}/batch={batch_id}"
-        scored.write.mode("overwrite").parquet(target)
-        written = batch.sparkSession.read.schema(scored.schema).parquet(target)
-        require_sane_scores(written, "p", bounded.count())
+        scored, rejected = score_batch(check(batch), model, request, input_index)
+        rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
+        scored.write.mode("overwrite").parquet(f"{scored_path}/batch={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(handle)
@@ -65,5 +54,5 @@ def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """All micro-batches written by ``score_stream``."""
+    """All micro-batches that ``score_stream`` wrote to one of its sinks."""
     return spark.read.schema(schema).parquet(f"{path}/batch=*").drop("batch")

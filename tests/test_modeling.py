@@ -35,7 +35,7 @@ PARAMS = {
         "rf_class_weight": "balanced_subsample",
     },
     "gradient_boosting": {
-        "gbt_n_estimators": "3", "gbt_learning_rate": "0.1", "gbt_num_leaves": "15", "gbt_max_depth": "9",
+        "gbt_n_estimators": "3", "gbt_learning_rate": "0.1", "gbt_max_depth": "9",
         "gbt_min_child_samples": "5", "gbt_subsample": "0.8", "gbt_colsample_bytree": "0.9",
         "gbt_class_weight": "none",
     },
@@ -48,7 +48,9 @@ def test_estimator_parameters(spark):
     assert logistic.getRegParam() == pytest.approx(1 / 200)
     assert logistic.getElasticNetParam() == 1.0 and not logistic.getStandardization()
     boosting = learners.build_estimator({"model_name": "gradient_boosting"} | PARAMS["gradient_boosting"], 100)
-    assert boosting.getMaxDepth() == 4  # 15 leaves fit in four levels
+    assert boosting.getMaxDepth() == 9
+    with pytest.raises(ValueError, match="rf_max_depth"):
+        learners.build_estimator({"model_name": "random_forest"} | PARAMS["random_forest"] | {"rf_max_depth": "31"}, 100)
     assert boosting.getFeatureSubsetStrategy() == "0.9"
     with pytest.raises(ValueError, match="logistic_c"):
         learners.build_estimator({"model_name": "logistic_regression"}, 100)
@@ -176,9 +178,9 @@ def test_tune_resumes_and_finalizes_once(spark, labelled, tmp_path):
     assert final.holdout.where("metric = 'roc_auc'").first()["value"] > 0.8
     row = registry.describe("people", "candidate").first()
     catalog = manifests.report_catalog(
-        tables.written_reports(spark, study.reports), "run", "name", ["final_evaluation", "roc_curve", "split_manifest"]
+        tables.written_reports(spark, study.reports), "run", "name", ["final_evaluation", "roc_curve", "pr_plot", "split_manifest"]
     )
-    assert manifests.require_reports(catalog) == ["final_evaluation", "split_manifest"]
+    assert manifests.require_reports(catalog) == ["final_evaluation", "roc_curve", "split_manifest"]
     assert row["version"] == 1 and not math.isnan(row["test_metrics"]["test_roc_auc"])
     with pytest.raises(ContractError, match="already evaluated"):
         modeling.finalize(labelled, PEOPLE, study, registry, "people")

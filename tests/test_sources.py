@@ -86,6 +86,34 @@ def test_folder_digest_sees_names_and_content(spark, tmp_path):
     assert len(seen) == 3 and digest(copy) in seen
 
 
+def test_digest_and_pin_of_a_single_file(spark, tmp_path):
+    text = f"{HEADER}\n{ROW}\n"
+    paths = []
+    for folder in ("here", "there"):
+        (tmp_path / folder).mkdir()
+        paths.append(write(tmp_path / folder, text))
+    first, second = (csv.csv_manifest(spark, path, PEOPLE) for path in paths)
+    assert first.digest == second.digest and first.sha256 == hashlib.sha256(text.encode()).hexdigest()
+    assert csv.verify_csv(spark, paths[0], PEOPLE, expected_sha256=first.sha256) == first
+    with pytest.raises(ContractError, match="SHA-256"):
+        csv.verify_csv(spark, paths[0], PEOPLE, expected_sha256="0" * 64)
+    with pytest.raises(ContractError, match="sha256"):
+        csv.acquire(spark, paths[0], PEOPLE, str(tmp_path / "store"), {"sha256": "0" * 64})
+
+
+def test_a_second_copy_or_a_broken_one_is_noticed(spark, tmp_path):
+    path, store = write(tmp_path, f"{HEADER}\n{ROW}\n"), str(tmp_path / "store")
+    folder, _ = csv.acquire(spark, path, PEOPLE, store)
+    row = spark.read.parquet(f"{store}/published").first()
+    twin = spark.createDataFrame([(row["digest"], folder + "-later", 1, row["content"])], csv.PUBLISHED)
+    twin.write.mode("append").parquet(f"{store}/published")
+    assert csv.acquire(spark, path, PEOPLE, store) == (folder, True)
+    spark.read.parquet(folder).withColumn("city", F.lit("other")).write.parquet(str(tmp_path / "changed"))
+    spark.read.parquet(str(tmp_path / "changed")).write.mode("overwrite").parquet(folder)
+    with pytest.raises(ContractError, match="conflicts"):
+        csv.acquire(spark, path, PEOPLE, store)
+
+
 def test_acquire_is_idempotent(spark, tmp_path):
     path = write(tmp_path, f"{HEADER}\n{ROW}\n")
     store = str(tmp_path / "store")

@@ -1,6 +1,5 @@
 """Splits, folds, digests and weights."""
 
-import hashlib
 
 import pytest
 from conftest import PEOPLE_SCHEMA, people_rows
@@ -83,11 +82,13 @@ def test_digest_depends_on_the_set_only(spark):
     assert spark.range(101).agg(*split.id_digest("id")).first()[0] != digest
 
 
-def test_exact_id_sha256(spark):
-    want = hashlib.sha256("\n".join(str(i) for i in range(20)).encode()).hexdigest()
-    assert split.exact_id_sha256(spark.range(20).orderBy(F.desc("id")), "id") == want
-    with pytest.raises(ContractError):
-        split.exact_id_sha256(spark.range(20), "id", max_rows=10)
+@pytest.mark.parametrize("ids", [[1] * 100, [None, *range(99)]])
+def test_identifiers_that_break_quotas_are_refused(spark, ids):
+    df = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "id long, y int")
+    with pytest.raises(ContractError, match="must"):
+        split.stratified_split(df, "id", "y")
+    with pytest.raises(ContractError, match="must"):
+        split.stratified_folds(df, "id", "y")
 
 
 def test_weights_and_disjointness(spark):
