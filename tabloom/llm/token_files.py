@@ -141,8 +141,8 @@ def token_counts(
     stream: Column | None = None,
     block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
-    """Documents of all files below ``path``; each file is a stream unless ``stream`` names another column."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", stream is None).load(path)
+    """Documents of all files below ``path``; each file is a stream unless ``stream`` makes another key of ``path``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     blocks = scan_blocks(files, F.col("path") if stream is None else stream, width, end, block_tokens)
     return stitch(materialize(blocks, "blocks"))
 
@@ -162,7 +162,7 @@ def documents_token_counts(documents: DataFrame, identifier: str = "doc_id", tex
     path = scratch_path(spark, "tokens")
     tokens = keyed.select("shard", "id", "hash", word_tokens(F.col("text")).alias("data"))
     write_token_files(tokens, path, "shard", ["id", "hash"], "data", WIDTH, END_OF_DOCUMENT)
-    counts = token_counts(spark, path, stream=F.col("shard"))
+    counts = token_counts(spark, path, stream=F.regexp_extract("path", "/shard=([0-9]+)/", 1))
     order = Window.partitionBy("shard").orderBy("id", "hash")
     places = keyed.select("id", "shard", (F.row_number().over(order) - 1).cast("long").alias("ordinal"))
     joined = places.join(

@@ -59,7 +59,7 @@ def test_long_pieces(tokenizer, library):
 
 
 def test_full_memories_change_nothing(library, monkeypatch):
-    monkeypatch.setattr("tabloom.llm.bpe.MEMORY_ENTRIES", 5)
+    monkeypatch.setattr("tabloom.llm.bpe.MEMORY_ENTRIES", 40)
     with open(PATH, "rb") as file:
         small = Tokenizer(file.read(), public_tokenizers.PATTERN)
     text = "Oumentoioi the erlichkeiten and thionation, eauxment queletre."
