@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 HOT_KEYS = 10_000
+SALTS = 64
 
 
 def _size(table: DataFrame) -> tuple[int, int]:
@@ -33,8 +36,8 @@ def left_lookup(
     ``weight`` is the number of rows of each key.  A table measured below both
     bounds is broadcast.  A larger one is cut in two: keys that hold more than
     1/HOT_KEYS of all weight, of which there are fewer than HOT_KEYS, are
-    broadcast when their bytes allow; the other keys are small enough for a
-    shuffle join.
+    broadcast, or dealt over SALTS places when they are too wide; the other keys
+    are small enough for a shuffle join.  Rows with a NULL key match nothing.
     """
     keys = list(keys)
     values = [name for name in table.columns if name not in (*keys, weight)]
@@ -46,9 +49,17 @@ def left_lookup(
     is_hot = F.col(weight) * HOT_KEYS > F.lit(total)
     hot = table.where(is_hot).drop(weight).withColumn("__hot", F.lit(True))
     cold = table.where(~is_hot).drop(weight)
+    has_key = reduce(and_, [F.col(key).isNotNull() for key in keys])
+    # Rows without a key match nothing; in a shuffle join they would all go to one task.
+    keyed, unkeyed = rows.where(has_key), rows.where(~has_key)
     if _size(hot)[1] <= broadcast_bytes:
-        hot = F.broadcast(hot)
-    tagged = rows.join(hot, keys, "left")
+        tagged = keyed.join(F.broadcast(hot), keys, "left")
+    else:
+        # Too wide to broadcast: every hot entry goes to SALTS places, and its rows are dealt among them.
+        copies = hot.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        dealt = keyed.withColumn("__salt", F.pmod(F.xxhash64(*keyed.columns), F.lit(SALTS)).cast("int"))
+        tagged = dealt.join(copies, [*keys, "__salt"], "left").drop("__salt")
     matched = tagged.where(F.col("__hot")).drop("__hot")
     unmatched = tagged.where(F.col("__hot").isNull()).drop("__hot", *values)
-    return matched.unionByName(unmatched.join(cold, keys, "left"))
+    found = matched.unionByName(unmatched.join(cold, keys, "left"))
+    return found.unionByName(unkeyed, allowMissingColumns=True)
