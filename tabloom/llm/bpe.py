@@ -22,6 +22,7 @@ import base64
 import re
 import struct
 from collections.abc import Iterator
+from functools import cached_property
 
 import regex
 from pyspark.sql import Column, SparkSession
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from tabloom.llm.common import column_udf, worker_cache
 
 #: Entries of each memory of a Python worker (words, prefixes, seams); a full memory starts anew.
-MEMORY_ENTRIES = 1 << 19
+MEMORY_ENTRIES = 1 << 18
 #: Words and pieces of more bytes are not remembered.
 REMEMBERED_LENGTH = 64
 #: Stands for the start of a piece where a token is expected.
@@ -47,14 +48,19 @@ class Merges:
         self.text = {rank: token for token, rank in self.rank.items()}
         self.longest = max(map(len, self.rank))
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self.root: dict = {}
+        self.fits = _Seams(self)
+        self.last_of = _Prefixes(self)
+
+    @cached_property
+    def root(self) -> dict:
+        """The byte trie: byte -> [next bytes, token or -1]; only tables of single texts need it."""
+        root: dict = {}
         for token, rank in self.rank.items():
-            node = self.root
+            node = root
             for byte in token[:-1]:
                 node = node.setdefault(byte, [{}, -1])[0]
             node.setdefault(token[-1], [{}, -1])[1] = rank
-        self.fits = _Seams(self)
-        self.last_of = _Prefixes(self)
+        return root
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens that the last merge into ``token`` joins; None for a byte.

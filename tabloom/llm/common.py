@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 SPACE = re.compile(rb"[\x20\x09-\x0d]")
 #: Words are taken from a long text in runs of about this many bytes.
 RUN_BYTES = 1 << 20
+#: Rows whose results a Python worker holds at once.
+BATCH_ROWS = 512
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -58,7 +60,9 @@ def column_udf(make: Callable[[], Callable[[Iterable], "object"]], schema: str):
     def run(batches):
         work = make()
         for batch in batches:
-            yield work(batch)
+            # Spark may hand over thousands of long texts at once; results leave in smaller pieces.
+            for at in range(0, len(batch), BATCH_ROWS):
+                yield work(batch.iloc[at : at + BATCH_ROWS])
 
     struct = " " in schema.split("<")[0].strip()
     result = "pd.DataFrame" if struct else "pd.Series"
