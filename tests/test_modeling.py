@@ -104,7 +104,7 @@ def test_split_manifest_document(labelled):
     manifest = modeling.nested_split_manifest(split, PEOPLE, "a" * 64, 0.2, 42, candidates)
     row = manifest.first()
     assert row["development"]["rows"] == 320 and row["test"]["rows"] == 80
-    assert row["excluded_from_model"]["training_hours"] == "unavailable at prediction time"
+    assert row["excluded_from_model"]["training_hours"] == PEOPLE.excluded["training_hours"]
     assert [c["name"] for c in row["preprocessing_candidates"]][0] == "all_ohe_with_city"
     assert "enrollee_id" not in row["features"]
 
