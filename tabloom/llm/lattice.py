@@ -43,7 +43,7 @@ END = 1e-3
 #: Words that every worker keeps; about 10 MB.
 FREQUENT = 1 << 17
 #: Distinct words that a counting task keeps before it hands them on.
-HELD_WORDS = 1 << 19
+HELD_WORDS = 1 << 17
 #: Longer words are scored one by one.
 LONG_WORD = 64
 BLANK = b" "
