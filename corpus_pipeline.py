@@ -2,8 +2,8 @@
 
 1. Language: documents whose language cannot be told are dropped (no letters,
    or no known language holds at least ``MIN_SHARE`` of the trigrams).
-2. Near-duplicates: of the documents whose SimHash fingerprints are linked, the
-   one with the smallest id stays.
+2. Near-duplicates: documents whose five-word shingles have a similarity of 0.8
+   or more are linked; of each linked group the one with the smallest id stays.
 3. Personal data: spans are replaced by their kind in brackets.
 4. Mixing: documents are repeated or left out so that sources reach their target
    weights, and shuffled.
@@ -27,12 +27,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import langid, mixing, pii, simhash
+from tabloom.llm import langid, mixing, pii, shingles
 from tabloom.llm.bpe import ByteBpe
 from tabloom.llm.common import free_name
 from tabloom.scratch import materialize
 
-#: Near-duplicates of this stage: fingerprints over five words, up to four bits apart.
+#: Near-duplicates of this stage: shingles of five words; fingerprints up to four bits apart are compared besides those that share a band.
 SHINGLE, DISTANCE, SEGMENTS = 5, 4, 5
 #: Smallest share of the best language for a document to stay.
 MIN_SHARE = 0.5
@@ -50,7 +50,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    groups = simhash.near_duplicate_groups(docs, width=SHINGLE, distance=DISTANCE, segments=SEGMENTS)
+    groups = shingles.near_copy_groups(docs, DISTANCE, SEGMENTS, width=SHINGLE)
     copies = groups.groupBy("doc_id").agg(F.min("component_id").alias("component_id")).where("component_id < doc_id")
     others = [name for name in docs.columns if name != "doc_id"]
     kept = docs.where("doc_id IS NOT NULL").join(copies.select("doc_id"), "doc_id", "left_anti")

@@ -1,0 +1,199 @@
+"""Near-duplicates by the exact similarity of word shingles.
+
+Two texts are linked if their sets of ``width``-word shingles (64-bit hashes)
+have a Jaccard similarity of at least ``SIMILAR``.  Candidates are texts that
+share a band of ``ROWS`` minima out of ``BANDS`` bands (at similarity 0.8 all
+bands miss with a chance of 0.00005), and texts whose SimHash fingerprints
+pigeonring filtering brings together.  Before the sets are compared, a pair must
+have sizes that allow the similarity and differ in at most ``MARKS`` of the 125
+lowest bits of its minima (at 0.8 the mean is 12.5 and the deviation 3.4).
+
+Texts of equal words are one class before any join.  The first round compares
+every class of a band with the band's smallest class, the second one all pairs of
+a band whose classes are not linked yet, so a group of near copies is not paired
+with itself.
+
+Edge cases: texts without words are one class, which links with nothing; a text
+shorter than ``width`` is one shingle; a null id keeps its row but names no group.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tabloom.llm.common import column_udf, word_runs
+from tabloom.llm.components import connected_components
+from tabloom.llm.simhash import near_fingerprints, simhash
+from tabloom.operators.lookup import left_lookup
+from tabloom.scratch import materialize
+
+#: Smallest similarity of a link, as a fraction.
+SIMILAR = (4, 5)
+BANDS, ROWS = 25, 5
+MARKS = 28
+SEED = 42
+#: Shingles whose minima are taken at once.
+BLOCK = 1024
+
+
+def _hasher(width: int):
+    """A function from a text to its words' digest and its distinct shingle hashes, ascending."""
+    import hashlib
+
+    import numpy as np
+    from xxhash import xxh64_intdigest
+
+    def hashes(text: str | None):
+        found, carried, digest, seen = [], [], hashlib.md5(), False
+        for words in word_runs(text):
+            for word in words:
+                digest.update(word + b" ")
+            words = carried + words
+            joined = b" ".join(words)
+            lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+            ends = np.cumsum(lengths + 1) - 1
+            starts = ends - lengths
+            spans = zip(starts[: max(0, len(words) - width + 1)].tolist(), ends[width - 1 :].tolist())
+            found.append(np.array([xxh64_intdigest(joined[i:j], SEED) for i, j in spans], dtype=np.uint64))
+            seen = seen or len(words) >= width
+            carried = words[len(words) - width + 1 :] if len(words) >= width else words
+        if not seen and carried:
+            found.append(np.array([xxh64_intdigest(b" ".join(carried), SEED)], dtype=np.uint64))
+        return digest.hexdigest(), np.unique(np.concatenate(found))
+
+    return hashes
+
+
+def _sketcher(width: int):
+    import numpy as np
+    import pandas as pd
+    from xxhash import xxh64_intdigest
+
+    hashes = _hasher(width)
+    rng = np.random.default_rng(SEED)
+    masks, factors = rng.integers(0, 1 << 63, size=(2, BANDS * ROWS, 1), dtype=np.uint64)
+    factors |= np.uint64(1)
+
+    def one(text):
+        key, found = hashes(text)
+        least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+        for at in range(0, len(found), BLOCK):
+            mixed = (found[at : at + BLOCK] ^ masks) * factors
+            mixed ^= mixed >> np.uint64(31)
+            np.minimum(least, (mixed * factors).min(axis=1), out=least)
+        # The lowest bits, in two words.
+        marks = np.zeros(128, dtype=np.uint8)
+        marks[: len(least)] = least & np.uint64(1)
+        marks = np.packbits(marks, bitorder="little").view("<i8").tolist()
+        rows = least.astype("<u8").reshape(BANDS, ROWS)
+        bands = [xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(rows)] if len(found) else []
+        return key, len(found), marks[0], marks[1], np.array(bands, dtype=np.uint64).view(np.int64)
+
+    names = ["key", "size", "first_marks", "last_marks", "bands"]
+    return lambda texts: pd.DataFrame([one(text) for text in texts], columns=names)
+
+
+def sketch(text: Column, width: int) -> Column:
+    """Digest of the words, number of distinct shingles, marks and bands."""
+    schema = "key string, size long, first_marks long, last_marks long, bands array<long>"
+    return column_udf(lambda: _sketcher(width), schema)(F.coalesce(text, F.lit("")))
+
+
+def shingle_set(text: Column, width: int) -> Column:
+    """The distinct shingle hashes of a text."""
+
+    def make():
+        import numpy as np
+        import pandas as pd
+
+        hashes = _hasher(width)
+        return lambda texts: pd.Series([hashes(text)[1].view(np.int64) for text in texts], dtype=object)
+
+    return column_udf(make, "array<long>")(F.coalesce(text, F.lit("")))
+
+
+def _alike(left: str, right: str) -> Column:
+    """Whether sizes and marks allow the similarity."""
+    above, below = SIMILAR
+    sizes = [F.col(f"{side}.size") for side in (left, right)]
+    differing = sum(
+        F.bit_count(F.col(f"{left}.{name}").bitwiseXOR(F.col(f"{right}.{name}"))) for name in ("first_marks", "last_marks")
+    )
+    return (F.least(*sizes) * below >= F.greatest(*sizes) * above) & (differing <= MARKS)
+
+
+def _similar(pairs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """The pairs ``a, b`` of nodes whose shingle sets are similar."""
+    pairs = materialize(pairs.select("a", "b").distinct(), "candidates")
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = materialize(
+        classes.join(nodes, "node", "left_semi").select("node", shingle_set(F.col("text"), width).alias("set")), "shingles"
+    )
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
+    both = both.join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y")).cast("long")
+    above, below = SIMILAR
+    enough = shared * below >= (F.size("x") + F.size("y") - shared) * above
+    return materialize(both.where((shared > 0) & enough).select("a", "b"), "similar")
+
+
+def near_copy_groups(
+    df: DataFrame, distance: int, segments: int, identifier: str = "doc_id", text: str = "text", width: int = 5
+) -> DataFrame:
+    """One row per input row: the id and ``component_id``, the smallest id reachable."""
+    prints = materialize(
+        df.select(F.col(identifier).alias("id"), F.col(text).alias("text"), sketch(F.col(text), width).alias("s")), "sketches"
+    )
+    keyed = prints.select("id", F.col("s.key").alias("key"))
+    grouped = prints.groupBy(F.col("s.key").alias("key")).agg(
+        F.min("id").alias("first"), F.count("*").alias("n"), F.first("text").alias("text"), F.first("s").alias("s")
+    )
+    classes = materialize(
+        grouped.select(
+            F.monotonically_increasing_id().alias("node"), "key", "first", "n", "text", simhash(F.col("text"), width).alias("fp"),
+            "s.size", "s.first_marks", "s.last_marks", "s.bands",
+        ),
+        "classes",
+    )
+    traits = F.struct("size", "first_marks", "last_marks")
+    banded = classes.select("node", traits.alias("t"), F.explode("bands").alias("band"))
+    leaders = materialize(
+        banded.groupBy("band").agg(F.min_by(F.struct("node", "t"), "node").alias("leader"), F.count("*").alias("members")).where("members > 1"),
+        "bands",
+    )
+    crowded = materialize(
+        left_lookup(banded, leaders.select("band", "leader", "members"), ["band"], "members").where("leader IS NOT NULL"), "members"
+    )
+    stars = crowded.where(F.col("node") != F.col("leader.node")).where(_alike("t", "leader.t"))
+    first_links = _similar(stars.select(F.col("leader.node").alias("a"), F.col("node").alias("b")), classes, width)
+
+    linked = connected_components(first_links, "a", "b")
+    placed = materialize(
+        crowded.drop("leader").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed"
+    )
+    apart = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    open_bands = placed.join(apart.select("band"), "band", "left_semi")
+    l, r = open_bands.alias("l"), open_bands.alias("r")
+    unlinked = (F.col("l.band") == F.col("r.band")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.component") != F.col("r.component"))
+    rest = l.join(r, unlinked & _alike("l.t", "r.t")).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+
+    # Classes of one fingerprint are looked at through the smallest one of each component.
+    fp_nodes = classes.join(linked, "node", "left").groupBy("fp", F.coalesce("component", "node").alias("component")).agg(
+        F.min("node").alias("node"), F.min_by(traits, "node").alias("t")
+    )
+    fp_nodes = materialize(fp_nodes, "fingerprints")
+    near = near_fingerprints(fp_nodes.select("fp").distinct(), "fp", distance, segments).distinct()
+    near = near.unionByName(fp_nodes.groupBy("fp").count().where("count > 1").select(F.col("fp").alias("left"), F.col("fp").alias("right")))
+    x, y = fp_nodes.alias("x"), fp_nodes.alias("y")
+    by_print = near.join(x, F.col("left") == F.col("x.fp")).join(y, F.col("right") == F.col("y.fp"))
+    by_print = by_print.where((F.col("x.component") != F.col("y.component")) & _alike("x.t", "y.t"))
+    by_print = by_print.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    links = first_links.unionByName(_similar(rest.unionByName(by_print), classes, width))
+
+    named = classes.select("key", "node", "first", "n").join(connected_components(links, "a", "b"), "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
+    least = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    members = materialize(named.join(least, "component").select("key", "n", "component_id"), "copies")
+    return left_lookup(keyed, members, ["key"], "n").select(F.col("id").alias(identifier), "component_id")

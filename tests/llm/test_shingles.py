@@ -1,0 +1,47 @@
+"""Near copies by exact five-word similarity, against all pairs."""
+
+import corpus_pipeline
+from pyspark.sql import functions as F
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def shingles(text):
+    words = text.encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_similar_documents_leave_one(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where(F.col("text").isNotNull())
+    rows = docs.select("doc_id", "text").collect()
+    sets = {r.doc_id: shingles(r.text) for r in rows}
+    label, near = {i: i for i in sets}, 0
+    ids = sorted(sets)
+    for place, a in enumerate(ids):
+        for b in ids[place + 1 :]:
+            small, large = sorted((len(sets[a]), len(sets[b])))
+            if 5 * small < 4 * large or not small:
+                continue
+            shared = len(sets[a] & sets[b])
+            if 5 * shared >= 4 * (small + large - shared):
+                near += sets[a] != sets[b]
+                old, new = sorted((label[a], label[b]), reverse=True)
+                label = {i: new if x == old else x for i, x in label.items()}
+    assert near >= 5
+    kept = {r.doc_id for r in corpus_pipeline.without_near_copies(spark, docs, FOLDER).collect()}
+    assert kept == set(label.values())
+
+
+def test_groups_of_edited_copies_and_short_texts(spark):
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words)]
+    for at in range(10, 390, 10):
+        changed = list(words)
+        changed[at] = changed[(at * 7) % 390 + 5] = "x"
+        texts.append(" ".join(changed))
+    texts += ["one two", "one  TWO", "one three", "", " \n"]
+    texts.append(" ".join(words[:200] + [f"v{i}" for i in range(200)]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("node", F.lit("clash"))
+    kept = sorted(r.doc_id for r in corpus_pipeline.without_near_copies(spark, docs, "").collect())
+    n = len(texts)
+    assert kept == [0, n - 6, n - 4, n - 3, n - 1]
