@@ -1,7 +1,7 @@
 """From raw documents to token ids, in five stages over all documents.
 
 1. Language: documents whose language cannot be told are dropped (no letters,
-   or no known language holds at least ``MIN_SHARE`` of the trigrams).
+   or the known languages together hold less than ``MIN_SHARE`` of the trigrams).
 2. Near-duplicates: documents whose five-word shingles have a similarity of 0.8
    or more are linked; of each linked group the one with the smallest id stays.
 3. Personal data: spans are replaced by their kind in brackets.
@@ -34,7 +34,7 @@ from tabloom.scratch import materialize
 
 #: Near-duplicates of this stage: shingles of five words; fingerprints up to four bits apart are compared besides those that share a band.
 SHINGLE, DISTANCE, SEGMENTS = 5, 4, 5
-#: Smallest share of the best language for a document to stay.
+#: Smallest share of all known languages together for a document to stay.
 MIN_SHARE = 0.5
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -44,7 +44,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = langid.fit(docs)
     name = free_name("found", docs.columns)
     found = docs.withColumn(name, langid.detect(spark, model, F.col("text")))
-    known = (F.col(name)["lang_pred"] != langid.UNKNOWN) & (F.col(name)["score"] >= MIN_SHARE)
+    together = F.aggregate(F.col(name)["shares"], F.lit(0.0), lambda total, share: total + share)
+    known = (F.col(name)["lang_pred"] != langid.UNKNOWN) & (together >= MIN_SHARE)
     return found.where(known).select(*docs.columns)
 
 

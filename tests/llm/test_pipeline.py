@@ -127,3 +127,13 @@ def test_edge_cases(spark):
     for _, stage in corpus_pipeline.STAGES:
         nothing = stage(spark, nothing, "")
     assert nothing.collect() == []
+
+
+def test_texts_of_several_languages_stay(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    texts = {lang: [r[0] for r in docs.where(F.col("lang") == lang).select("text").head(20)] for lang in ("en", "fr", "de")}
+    mixed = [(20_000 + k, " ".join(t[:600] for t in parts), None, "s", 1) for k, parts in enumerate(zip(*texts.values()))]
+    short = [(30_000, "All rights reserved. This text may be copied.", None, "s", 1), (30_001, "123 456", None, "s", 1)]
+    more = docs.select(*COLUMNS).unionByName(spark.createDataFrame(mixed + short, docs.select(*COLUMNS).schema))
+    kept = {r.doc_id for r in corpus_pipeline.known_language(spark, more, FOLDER).where("doc_id >= 20000").collect()}
+    assert len(mixed) == 20 and kept == {r[0] for r in mixed} | {30_000}
