@@ -2,9 +2,11 @@
 
 A filter is a direction made of one code word per block of coordinates, so a few
 code words per block make many filters.  A vector passes every filter whose cap
-it lies in (inner product at or above a threshold) and at least ``LEAST`` of the
-best ones; all of them are listed by meeting in the middle of the blocks,
-without a look at most filters.  Vectors that share a filter, a label and a
+it lies in (inner product at or above a threshold); a vector with fewer than
+``LEAST`` lowers its threshold step by step and passes all filters above it.  All
+of them are listed by meeting in the middle of the blocks, without a look at most
+filters.  Vectors are rotated by one random rotation per length first, so weight
+in few coordinates is spread over all blocks.  Vectors that share a filter, a label and a
 length meet, and their cosine is computed in double precision.
 
 Equal vectors of a label are one class before any join.  A class is sent once
@@ -33,6 +35,8 @@ COSINE = 0.98
 BLOCKS = 4
 #: Filters that a vector passes on average, and at least.
 MEAN, LEAST = 16, 12
+#: A threshold is lowered by this part of the deviation of inner products.
+STEP = 0.2
 SEED = 7
 #: Classes of one filter that meet in one group.
 BLOCK_ROWS = 1024
@@ -56,7 +60,6 @@ def _decoder(words: int):
     import numpy as np
 
     codes: dict[int, tuple] = {}
-    half = words ** (BLOCKS // 2)
     quantile = NormalDist().inv_cdf(1 - min(0.5, MEAN / words**BLOCKS))
 
     def code(size: int):
@@ -65,7 +68,10 @@ def _decoder(words: int):
             parts = np.array_split(np.arange(size), BLOCKS)
             book = [rng.standard_normal((words, len(part))) for part in parts]
             book = [b / np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-12) for b in book]
-            codes[size] = parts, book, quantile / np.sqrt(size) * np.sqrt(BLOCKS)
+            # A block of one coordinate has two directions and an empty one has one: no filter comes twice.
+            book = [b if b.shape[1] > 1 else np.array([[1.0], [-1.0]]) if b.shape[1] else b[:1] for b in book]
+            rotation = np.linalg.qr(rng.standard_normal((size, size)))[0]
+            codes[size] = rotation, parts, book, np.sqrt(BLOCKS / size)
         return codes[size]
 
     def sums(tables):
@@ -78,7 +84,8 @@ def _decoder(words: int):
         vector = np.asarray(vector, dtype=np.float64)
         vector = vector / np.abs(vector).max()
         vector = vector / np.linalg.norm(vector)
-        parts, book, threshold = code(len(vector))
+        rotation, parts, book, deviation = code(len(vector))
+        vector, threshold = rotation @ vector, quantile * deviation
         inner = [b @ vector[part] for part, b in zip(parts, book)]
         first, second = sums(inner[: BLOCKS // 2]), sums(inner[BLOCKS // 2 :])
         order = np.argsort(-second, kind="stable")
@@ -86,17 +93,12 @@ def _decoder(words: int):
         while True:
             counts = np.searchsorted(falling, first - threshold, side="right")
             total = int(counts.sum())
-            if total >= min(LEAST, half * half):
+            if total >= min(LEAST, len(first) * len(second)):
                 break
-            threshold -= 0.05
-        rows = np.repeat(np.arange(half), counts)
+            threshold -= STEP * deviation
+        rows = np.repeat(np.arange(len(first)), counts)
         places = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
-        columns = order[places]
-        if total > MEAN and threshold < code(len(vector))[2]:
-            # The threshold was lowered for this vector: only its best filters count.
-            best = np.argsort(-(first[rows] + second[columns]), kind="stable")[:LEAST]
-            rows, columns = rows[best], columns[best]
-        return np.sort(rows * half + columns)
+        return np.sort(rows * len(second) + order[places])
 
     return passed
 

@@ -90,3 +90,23 @@ def test_edge_cases(spark):
     assert result(spark, rows) == plain(rows)
     assert result(spark, rows[:0]) == []
     assert result(spark, [(1, None, None)]) == [(1, 0, 1)]
+
+
+@pytest.mark.parametrize("kind", ["one-hot", "three coordinates", "padded", "dense"])
+def test_vectors_with_weight_in_few_coordinates(spark, kind):
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(150):
+        v = rng.standard_normal(64)
+        if kind == "one-hot":
+            v = np.eye(64)[k % 64] * rng.choice([-1, 1])
+        elif kind == "three coordinates":
+            v[rng.permutation(64)[3:]] = 0
+        elif kind == "padded":
+            v[16:] = 0
+        v /= np.linalg.norm(v)
+        noise = rng.standard_normal(64)
+        near = v + 0.045 * noise / np.linalg.norm(noise)
+        rows += [(2 * k, v.tolist(), k), (2 * k + 1, near.tolist(), k)]
+    assert sum(n for _, n, _ in plain(rows)) == 300
+    assert result(spark, rows) == plain(rows)
