@@ -15,8 +15,9 @@ the formatted text) that hold assistant texts; nothing of the template is in it.
 Edge cases: a null text is an empty one and a null role an empty one; an empty
 list of messages gives no turns and an empty formatted text; a record that is
 null, no JSON, or of an unknown shape has null turns, layout and formatted text;
-texts of any length are kept whole; repeated rows are formatted alike; other
-columns stay untouched.
+texts of any length are kept whole (a record above ``LARGE`` bytes takes its shape
+from a skeleton without its texts, since a variant bounds both a text and a
+record); repeated rows are formatted alike; other columns stay untouched.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ _TAILS = r"(?=\||/?s>|/?INST\])"
 ASSISTANT = "assistant"
 TURNS = "array<struct<role:string,text:string>>"
 NO_TURNS = "[]"
+#: Records above this size do not pass through a variant, which holds texts of 20 million characters and 128 MiB.
+LARGE = 16_000_000
+LONGEST = {"maxStringLen": str((1 << 31) - 1)}
 
 
 @dataclass(frozen=True)
@@ -147,15 +151,53 @@ def _turns(layout: Layout, record: Column) -> Column:
     return F.filter(F.array(*turns), lambda x: x.isNotNull())
 
 
+def skeleton(record: Column) -> Column:
+    """JSON text with all strings but the names of fields emptied."""
+    # Escaped backslashes and quotes become tabs (no name of a layout has one), so every quote left is a border.
+    plain = F.replace(F.replace(record, F.lit("\\\\"), F.lit("\\t")), F.lit('\\"'), F.lit("\\t"))
+    pieces = F.split(plain, '"', -1)
+    following = F.concat(F.slice(pieces, F.lit(2), F.size(pieces)), F.array(F.lit("")))
+    kept = F.zip_with(
+        F.transform(pieces, lambda piece, at: F.struct(piece.alias("text"), at.alias("at"))),
+        following,
+        lambda piece, after: F.when((piece["at"] % 2 == 0) | after.rlike(r"^\s*:"), piece["text"]).otherwise(""),
+    )
+    return F.array_join(kept, '"')
+
+
+def _large_turns(layout: Layout, record: Column, shaped: Column) -> Column:
+    """Canonical turns of JSON text whose skeleton (a variant) has this layout's shape."""
+    if layout.items:
+        listed, role, text = layout.items
+        kind = f"struct<`{listed}`:array<struct<`{role}`:string,`{text}`:string>>>"
+        return F.transform(
+            F.from_json(record, kind, LONGEST)[listed],
+            lambda x: F.struct(_role(layout, x[role]).alias("role"), F.coalesce(x[text], F.lit("")).alias("text")),
+        )
+    turns = []
+    for path, role in layout.fields:
+        name, *inner = path.split(".")
+        kind = "string" if not inner else f"struct<`{inner[0]}`:string>"
+        value = F.from_json(record, f"struct<`{name}`:{kind}>", LONGEST)[name]
+        text = value[inner[0]] if inner else value
+        turn = F.struct(F.lit(role).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
+        present = F.try_variant_get(shaped, f"$.{path}", "variant").isNotNull() if path in layout.optional else F.lit(True)
+        turns.append(F.when(present, turn))
+    return F.filter(F.array(*turns), lambda x: x.isNotNull())
+
+
 def canonical(df: DataFrame, record: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """Adds ``layout`` and ``turns`` for a column of JSON text."""
     known = {hashlib.sha256(s.encode()).hexdigest(): layout.name for layout in layouts for s in layout.shapes()}
     names = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    parsed = df.withColumn("__record", F.try_parse_json(F.col(record)))
+    large = F.octet_length(F.col(record)) > LARGE
+    parsed = df.withColumn("__record", F.try_parse_json(F.when(large, skeleton(F.col(record))).otherwise(F.col(record))))
     named = parsed.withColumn("layout", F.element_at(names, fingerprint(F.col("__record"))))
     turns = F.lit(None).cast(TURNS)
     for layout in layouts:
-        turns = F.when(F.col("layout") == layout.name, _turns(layout, F.col("__record")).cast(TURNS)).otherwise(turns)
+        small = _turns(layout, F.col("__record")).cast(TURNS)
+        found = F.when(large, _large_turns(layout, F.col(record), F.col("__record")).cast(TURNS)).otherwise(small)
+        turns = F.when(F.col("layout") == layout.name, found).otherwise(turns)
     return named.withColumn("turns", turns).drop("__record")
 
 

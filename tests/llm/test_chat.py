@@ -1,5 +1,6 @@
 """Chat formatting: layouts, round trips, the loss mask, and the query against its SQL."""
 
+import hashlib
 import json
 
 import comparing
@@ -88,3 +89,21 @@ def test_rows_with_ties_and_nulls(spark):
 def test_plan_is_native(spark, name):
     plan = queries.QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_a_text_beyond_the_limits_of_a_variant(spark):
+    long = "é\\\"a: " * 3_600_000
+    records = [json.dumps({"prompt": "q", "response": long}),
+               json.dumps({"messages": [{"role": "user", "content": long}, {"role": "assistant", "content": '"x": \\'}]}),
+               json.dumps({"question": "q", "answer": {"text": long}, "odd": 1})]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(records)], "i int, record string")
+    out = chat.canonical(df, "record").select(
+        "i", "layout", F.transform("turns", lambda t: F.struct(t["role"], F.length(t["text"]), F.md5(t["text"]))).alias("turns")
+    )
+    rows = {r.i: r for r in out.collect()}
+    digest = (len(long), hashlib.md5(long.encode()).hexdigest())
+    tail = '"x": \\'
+    assert rows[0].layout == "prompt_response" and [tuple(t)[1:] for t in rows[0].turns][1] == digest
+    assert rows[1].layout == "messages"
+    assert [tuple(t) for t in rows[1].turns] == [("user", *digest), ("assistant", len(tail), hashlib.md5(tail.encode()).hexdigest())]
+    assert rows[2].layout is None and rows[2].turns is None
