@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import ann, caps, chat, langid, mixing, pii, simhash, token_files
+from tabloom.llm import ann, caps, chat, exact, importance, langid, merkle, mixing, pii, simhash, token_files
 from tabloom.llm.bpe import ByteBpe
 from tabloom.llm.common import fold_of, table
 from tabloom.llm.lattice import SubwordLattice
@@ -108,6 +109,37 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicate_groups(table(spark, folder, "documents"))
 
 
+def manifest_rows(documents: DataFrame) -> DataFrame:
+    """Every document's leaf, roots and proof, and the root that a tampered leaf leads to."""
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    others = [F.col(name) for name in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.when(
+        F.col("doc_id").isNotNull() & F.col("text").isNotNull() & (fold_of("doc_id", 5) == 0),
+        merkle.row_digest(*others, lowered),
+    )
+    leaf = merkle.row_digest(*others, F.col("text"))
+    manifest = merkle.MerkleManifest.build(documents, leaf, "source", "doc_id", {"tampered": tampered})
+    folded = manifest.proofs().withColumn("folded_root", merkle.fold(F.coalesce("tampered", "digest"), F.col("proof")))
+    return folded.select(
+        "doc_id", F.col("digest").alias("leaf"), "subroot", "root",
+        F.sha2(merkle.joined_proof(F.col("proof")), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op11_octopus_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest_rows(table(spark, folder, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_patricia_owners(spark: SparkSession, folder: str) -> DataFrame:
+    return exact.duplicate_owners(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_projected_neighbours": op1_projected_neighbours,
     "op2_subword_lattice": op2_subword_lattice,
@@ -119,6 +151,9 @@ QUERIES: dict[str, Query] = {
     "op8_personal_data": op8_personal_data,
     "op9_spherical_caps": op9_spherical_caps,
     "op10_simhash": op10_simhash,
+    "op11_octopus_manifest": op11_octopus_manifest,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_patricia_owners": op13_patricia_owners,
 }
 
 _MIX = f"""
