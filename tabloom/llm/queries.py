@@ -206,7 +206,135 @@ SELECT conv_id, n_turns, turns_sha256, length(taught)::BIGINT AS loss_chars, sha
 FROM grouped
 """
 
+# crc32 bit by bit, over the decimal digits of an id.
+_CRC = """
+xor(list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)),
+  lambda a, b: list_reduce(
+    list_prepend(xor(a, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END
+  )
+), 4294967295)
+"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+_FIELDS = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))
+_LOWERED = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+# Levels by recursion; leaves of the upper tree are the roots below.
+_TREE = """
+WITH RECURSIVE leaves AS MATERIALIZED (
+  SELECT doc_id, source, {fields} AS part, sha256({fields} || {text}) AS leaf,
+    CASE WHEN {crc} % 5 = 0 AND text IS NOT NULL THEN sha256({fields} || {lowered}) END AS tampered
+  FROM documents
+), placed AS MATERIALIZED (
+  SELECT doc_id, leaf, coalesce(tampered, leaf) AS start, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS n
+  FROM leaves
+), nodes AS (
+  SELECT tree, 0 AS level, pos, n, leaf AS digest FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 16, (max(n) + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 16
+), kept AS MATERIALIZED (SELECT * FROM nodes
+), subroots AS MATERIALIZED (SELECT tree, level, digest FROM kept WHERE n = 1
+), upper AS (
+  SELECT 0 AS level, tree AS pos, count(*) OVER () AS n, digest FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 16, (max(n) + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM upper WHERE n > 1 GROUP BY level, pos // 16
+), above AS MATERIALIZED (SELECT * FROM upper
+), root AS (SELECT digest AS root FROM above WHERE n = 1
+), steps AS MATERIALIZED (
+  SELECT tree, level, pos, digest,
+    coalesce(string_agg(digest, '') OVER (
+      PARTITION BY tree, level, pos // 16 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lefts,
+    coalesce(string_agg(digest, '') OVER (
+      PARTITION BY tree, level, pos // 16 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rights
+  FROM (
+    SELECT tree, level, pos, digest FROM kept WHERE n > 1
+    UNION ALL SELECT -1, level, pos, digest FROM above WHERE n > 1
+  )
+), ways AS (
+  SELECT p.tree AS leaf_tree, p.pos AS leaf_pos, 0 AS hops, p.tree, 0 AS level, p.pos, p.start AS digest, '' AS proof FROM placed p
+  UNION ALL
+  SELECT w.leaf_tree, w.leaf_pos, w.hops + 1, coalesce(s.tree, -1), CASE WHEN s.tree IS NULL THEN 0 ELSE w.level + 1 END,
+    CASE WHEN s.tree IS NULL THEN w.leaf_tree ELSE w.pos // 16 END,
+    CASE WHEN s.tree IS NULL THEN w.digest ELSE sha256(s.lefts || w.digest || s.rights) END,
+    w.proof || coalesce(s.lefts || s.rights, '')
+  FROM ways w LEFT JOIN steps s ON s.tree = w.tree AND s.level = w.level AND s.pos = w.pos
+  WHERE s.tree IS NOT NULL OR w.tree >= 0
+), ends AS (
+  SELECT leaf_tree, leaf_pos, arg_max(digest, hops) AS folded_root, arg_max(proof, hops) AS proof FROM ways GROUP BY ALL
+)
+SELECT p.doc_id, p.leaf, s.digest AS subroot, r.root, sha256(e.proof) AS proof_sha256, e.folded_root,
+  e.folded_root = r.root AS verified
+FROM placed p JOIN ends e ON e.leaf_tree = p.tree AND e.leaf_pos = p.pos JOIN subroots s ON s.tree = p.tree CROSS JOIN root r
+"""
+_MANIFEST = _TREE.format(
+    fields=_FIELDS, text=_field("text"), lowered=_field(_LOWERED), crc=_CRC.format(text="doc_id::VARCHAR")
+)
+
+_EXACT = r"""
+WITH given AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY body) AS group_size,
+  row_number() OVER best = 1 AS kept, sha256(body) AS text_sha256
+FROM given WINDOW best AS (PARTITION BY body ORDER BY length(text) DESC, doc_id)
+"""
+
+# crc32 byte by byte, for the distinct n-grams.
+_GAINS = rf"""
+WITH steps AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)
+    ORDER BY b) AS step
+  FROM (SELECT unnest(range(256)) AS b)
+), texts AS (
+  SELECT 0 AS side, row_number() OVER () AS row, doc_id, text FROM documents
+  UNION ALL SELECT 1, row_number() OVER (), NULL, text FROM benchmark
+), worded AS MATERIALIZED (
+  SELECT side, row, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM texts
+), features AS MATERIALIZED (
+  SELECT side, row, unnest(list_concat(words,
+    list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]),
+    list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]))) AS feature
+  FROM worded
+), hashed AS MATERIALIZED (
+  SELECT feature, xor(list_reduce(
+    list_prepend(4294967295::BIGINT,
+      list_transform(range(1, strlen(feature) + 1), lambda i: ('0x' || substr(hex(feature), 2 * i - 1, 2))::BIGINT)),
+    lambda a, b: xor(a >> 8, step[(xor(a, b) & 255) + 1])), 4294967295) % {importance.BUCKETS} AS bucket
+  FROM (SELECT DISTINCT feature FROM features) CROSS JOIN steps
+), counted AS MATERIALIZED (
+  SELECT bucket, count_if(side = 0)::DOUBLE AS s, count_if(side = 1)::DOUBLE AS t FROM features JOIN hashed USING (feature) GROUP BY 1
+), gains AS (
+  SELECT bucket, floor({importance.SCALE} * ln((t + 1) * (sum(s) OVER () + {importance.BUCKETS})
+    / ((s + 1) * (sum(t) OVER () + {importance.BUCKETS}))))::BIGINT AS gain
+  FROM counted
+), weights AS (
+  SELECT row, count(*) AS n_features, sum(gain)::BIGINT AS weight
+  FROM features JOIN hashed USING (feature) JOIN gains USING (bucket) WHERE side = 0 GROUP BY row
+), scored AS (
+  SELECT doc_id, len(words) >= {importance.LEAST_WORDS} AS enough, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-{importance.SCALE} * ln(-ln((('0x' || substr(sha256('{importance.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+      + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM worded LEFT JOIN weights USING (row) WHERE side = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY enough ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY enough) AS n FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN enough AND place <= {importance.SHARE} * n // 100 THEN place END AS rank FROM ranked
+"""
+
 ORACLES: dict[str, str] = {
+    "op12_importance_resampling": _GAINS,
+    "op11_octopus_manifest": _MANIFEST,
+    "op13_patricia_owners": _EXACT,
     "op4_poisson_mix": _MIX,
     "op5_separator_scan": _WORDS,
     "op7_chat_format": _CHAT,
