@@ -12,8 +12,9 @@ The model is learned from a bounded sample of labelled rows: ``SAMPLE`` rows of
 each language are expected, chosen by a hash of the id; a language with fewer
 rows gives all of them.  Every text is predicted from its whole text.
 
-Edge cases: a null text, or one without letters, is ``und`` with score 0; very
-long texts are counted in blocks; rows with a null label teach nothing; without
+Edge cases: a null text, or one without letters, is ``und`` with score 0, and any
+other text gets a learned language (letters are those of Unicode, in all
+planes); very long texts are counted in blocks; rows with a null label teach nothing; without
 any labelled row every text is ``und``; repeated rows are predicted alike; ties
 go to the language that sorts first.
 """
@@ -64,11 +65,16 @@ def _bucket_counter():
         text = text or ""
         for at in range(0, len(text), BLOCK):
             codes = np.frombuffer(text[at : at + BLOCK].lower().encode(native, "replace"), dtype=np.uint32)
-            # Characters above the basic plane count as letters.
-            is_letter = letters[np.minimum(codes, 0xFFFF)] | (codes > 0xFFFF)
+            is_letter = letters[np.minimum(codes, 0xFFFF)]
+            high = codes > 0xFFFF
+            if high.any():
+                which, place = np.unique(codes[high], return_inverse=True)
+                is_letter[high] = np.array([chr(c).isalpha() for c in which.tolist()])[place]
             seen += int(is_letter.sum())
             codes = np.where(is_letter, codes, 0).astype(np.uint64)
-            codes = np.concatenate([carried, codes])
+            # A blank follows the last letter, so one letter is a trigram.
+            last = [0] if at + BLOCK >= len(text) else []
+            codes = np.concatenate([carried, codes, np.array(last, dtype=np.uint64)])
             # Runs of other characters are one blank.
             codes = codes[np.concatenate([[True], (codes[1:] | codes[:-1]) != 0])]
             if len(codes) > 2:

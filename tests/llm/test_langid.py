@@ -48,9 +48,25 @@ def test_expectation_maximisation_against_a_plain_version():
     assert np.isclose(likelihood, sum(n * np.log(probabilities[i] @ np.array(share)) for i, n in enumerate(counts)))
 
 
+def test_trigrams_against_a_plain_version(monkeypatch):
+    def plain(text):
+        letters = "".join(c if c.isalpha() else " " for c in text.lower())
+        shown = " " + " ".join(letters.split()) + " "
+        return (len(shown) - 2, sum(c.isalpha() for c in text.lower())) if shown.strip() else (0, 0)
+
+    texts = ["", "a", ".a", "ab", "a b", " a, b!", "👍", "x👍y", "éÀ\U00020000", "one two  three" * 50, "." * 40, "a" * 16 + "." * 16]
+    for block in (1 << 20, 4):
+        monkeypatch.setattr(langid, "BLOCK", block)
+        count = langid._bucket_counter()
+        for text in texts:
+            counts, letters = count(text)
+            assert (int(counts.sum()), letters) == plain(text), (text, block)
+
+
 def test_edge_cases(spark):
     rows = [(1, None, "aa"), (2, "", "aa"), (3, "123 !!\n", "bb"), (4, "lala lala", "aa"), (5, "zuzu zozu", "bb"),
-            (5, "zuzu zozu", "bb"), (None, "lala", None), (7, "lala " * 600_000, "aa"), (8, "漢字👍", None), (9, "x", None)]
+            (5, "zuzu zozu", "bb"), (None, "lala", None), (7, "lala " * 600_000, "aa"), (8, "漢字👍", None), (9, "x", None),
+            (10, "👍👍👍", None), (11, ".a", None), (12, "\U00020000", None), (13, "Z", None), (14, "\U0001d7d8 4", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("lang_pred", F.lit("clash"))
     model = langid.fit(df)
     found = df.select("doc_id", langid.detect(spark, model, F.col("text")).alias("x")).collect()
@@ -59,6 +75,8 @@ def test_edge_cases(spark):
     assert all(by_id[i].lang_pred == "und" and by_id[i].score == 0 for i in (1, 2, 3))
     assert by_id[4].lang_pred == "aa" and by_id[5].lang_pred == "bb" and by_id[7].lang_pred == "aa"
     assert by_id[None].lang_pred == "aa" and by_id[8].lang_pred in ("aa", "bb")
+    assert all(by_id[i].lang_pred == "und" and by_id[i].score == 0 for i in (10, 14))
+    assert all(by_id[i].lang_pred in ("aa", "bb") for i in (9, 11, 12, 13))
     nothing = langid.fit(df.where("false"))
     assert {r.x.lang_pred for r in df.select(langid.detect(spark, nothing, F.col("text")).alias("x")).collect()} == {"und"}
     assert df.limit(0).select(langid.detect(spark, model, F.col("text"))).collect() == []
