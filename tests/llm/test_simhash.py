@@ -59,12 +59,25 @@ def test_fingerprints_one_and_two_bits_apart_are_found(spark):
     classes = spark.createDataFrame([(p,) for p in prints], "fp long")
     wanted = {(a, b) for a in prints for b in prints if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= 2}
     assert {tuple(r) for r in simhash.near_fingerprints(classes, "fp").collect()} == wanted
+    for segments in (3, 4, 5, 10):
+        assert {tuple(r) for r in simhash.near_fingerprints(classes, "fp", 2, segments).collect()} == wanted
+    assert simhash.near_fingerprints(classes, "fp", 0, 4).collect() == []
     wide = {(a, b) for a in prints for b in prints if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= 4}
     assert {tuple(r) for r in simhash.near_fingerprints(classes, "fp", 4, 6).collect()} == wide
     with pytest.raises(ValueError):
         simhash.near_fingerprints(classes, "fp", 3, 3)
 
 
+def test_few_random_fingerprints_meet(spark):
+    """Rows of the join before its condition, for 200,000 random fingerprints."""
+    classes = spark.range(200_000).select(F.xxhash64("id").alias("fp"))
+    plan = simhash.near_fingerprints(classes, "fp").select("left", "right")
+    assert plan.count() == 0
+    key = (1 << 27) - 1
+    met = classes.groupBy(F.col("fp").bitwiseAND(key)).count().agg(F.sum(F.expr("count * (count - 1) / 2"))).first()[0]
+    assert 7 * met < 5_000
+
+
 def test_edge_cases(spark):
     long_text = "lorem IPSUM dolor " * 200_000
     rows = [(5, None), (3, ""), (9, " \t\n"), (1, "One two"), (2, "one  TWO"), (4, "a"), (4, "a"), (8, long_text),
