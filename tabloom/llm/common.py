@@ -15,6 +15,8 @@ SPACE = re.compile(rb"[\x20\x09-\x0d]")
 RUN_BYTES = 1 << 20
 #: Rows whose results a Python worker holds at once.
 BATCH_ROWS = 512
+#: Items of an array that ``running`` handles at once.
+RUNNING_BLOCK = 128
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,6 +50,42 @@ def word_runs(text: str | None) -> Iterator[list[bytes]]:
     yield data[start:].split()
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often and in whatever lambda the body reads it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(items: Column, zero: Column, step: Callable[[Column, Column], Column], result: str) -> Column:
+    """One value per item of an array, from left to right, as an array of type ``result``.
+
+    ``step(state, item)`` gives a struct of the next ``state`` and of ``value``,
+    the item's result.  Items are taken in blocks, because appending to an array
+    copies it: n items cost n * RUNNING_BLOCK steps, not n^2.
+    """
+    none = F.from_json(F.lit("[]"), f"array<{result}>")
+
+    def one(seen: Column, item: Column) -> Column:
+        return bound(
+            step(seen["state"], item),
+            lambda made: F.struct(made["state"].alias("state"), F.array_append(seen["found"], made["value"]).alias("found")),
+        )
+
+    def over(all_items: Column) -> Column:
+        def block(seen: Column, number: Column) -> Column:
+            part = F.slice(all_items, number * RUNNING_BLOCK + 1, F.lit(RUNNING_BLOCK))
+            start = F.struct(seen["state"].alias("state"), none.alias("found"))
+            return bound(
+                F.aggregate(part, start, one),
+                lambda done: F.struct(done["state"].alias("state"), F.array_append(seen["found"], done["found"]).alias("found")),
+            )
+
+        blocks = F.sequence(F.lit(0), F.floor(F.size(all_items) / RUNNING_BLOCK).cast("int"))
+        outer = F.struct(zero.alias("state"), F.from_json(F.lit("[]"), f"array<array<{result}>>").alias("found"))
+        return F.flatten(F.aggregate(blocks, outer, block, lambda seen: seen["found"]))
+
+    return bound(items, over)
+
+
 def column_udf(make: Callable[[], Callable[[Iterable], "object"]], schema: str):
     """A Column function over Arrow batches.
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import free_name
+from tabloom.llm.common import free_name, running
 from tabloom.operators.lookup import left_lookup
 from tabloom.scratch import materialize
 
@@ -79,11 +79,12 @@ def repetition_rates(sizes: DataFrame, weights: DataFrame, total: float | None =
 
     def step(seen: Column, k: Column) -> Column:
         log_p = seen["log_p"] + F.log(F.col("rate")) - F.log(k.cast("double"))
-        below = F.element_at(seen["steps"], -1) + F.exp(log_p)
-        return F.struct(log_p.alias("log_p"), F.array_append(seen["steps"], below).alias("steps"))
+        below = seen["below"] + F.exp(log_p)
+        return F.struct(F.struct(log_p.alias("log_p"), below.alias("below")).alias("state"), below.alias("value"))
 
-    start = F.struct((-F.col("rate")).alias("log_p"), F.array(F.exp(-F.col("rate"))).alias("steps"))
-    steps = F.aggregate(F.sequence(F.lit(1), farthest), start, step, lambda seen: seen["steps"])
+    none = F.exp(-F.col("rate"))
+    start = F.struct((-F.col("rate")).alias("log_p"), none.alias("below"))
+    steps = F.concat(F.array(none), running(F.sequence(F.lit(1), farthest), start, step, "double"))
     return joined.withColumn("rate", rate).select("source_key", "n", "rate", steps.alias("steps"))
 
 

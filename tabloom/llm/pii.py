@@ -13,7 +13,8 @@ nested backtracking: long runs of digits or letters cost linear time.
 
 Edge cases: a null or empty text has no spans; texts are searched as a whole;
 rows are independent, so ids, ties, repeated rows and other columns do not
-matter.  Work per text grows with its length times its number of spans.
+matter.  Work per text grows in proportion to its length and its number of spans
+(``redact`` reads the text once more per ``REDACTED`` spans).
 """
 
 from __future__ import annotations
@@ -24,10 +25,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tabloom.llm.common import bound, running
+
 THRESHOLD = 0.5
 #: A context word counts within this many code points before or after a span.
 WINDOW = 40
 CONTEXT_BONUS = 0.4
+#: Matches of this many code points at least, so that so many of them fill a window.
+SHORTEST = 5
+#: Spans that are replaced in one part of the text.
+REDACTED = 256
 SPAN = "struct<start:int,place:int,end:int,kind:string,score:double>"
 
 
@@ -130,25 +137,50 @@ ADDED = (
 )
 
 
-def _positions(text: Column, pattern: str) -> Column:
-    """start, end and text of all matches, from the pieces between them."""
-    pairs = F.zip_with(
+def _positions(text: Column, pattern: str, context: bool) -> Column:
+    """start, end, text, and the text around of all matches, from the pieces between them."""
+    matched = F.zip_with(
         F.split(text, pattern, -1),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda piece, match: F.struct(F.length(piece).alias("skip"), match.alias("match")),
+        lambda piece, match: F.struct(piece.alias("piece"), match.alias("match")),
     )
-    none = F.from_json(F.lit("[]"), "array<struct<start:int,end:int,match:string>>")
 
-    def step(seen: Column, pair: Column) -> Column:
-        start = seen["at"] + pair["skip"]
+    def step(at: Column, pair: Column) -> Column:
+        start = at + F.length(pair["piece"])
         end = start + F.coalesce(F.length(pair["match"]), F.lit(0))
-        span = F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match"))
-        found = F.when(pair["match"].isNull(), seen["found"]).otherwise(F.array_append(seen["found"], span))
-        return F.struct(end.alias("at"), found.alias("found"))
+        value = F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match"))
+        return F.struct(end.alias("state"), value.alias("value"))
+
+    def placed(pairs: Column) -> Column:
+        return running(pairs, F.lit(0), step, "struct<start:int,end:int,match:string>")
+
+    # Pieces and matches in order; so many of them fill a window.
+    many = 2 * (WINDOW // SHORTEST) + 1
+
+    def cut(pairs: Column, side: Callable[[Column, Column], Column]) -> Column:
+        parts = F.transform(pairs, lambda p: F.array(*[side(p[name], F.lit(WINDOW)) for name in ("piece", "match")]))
+        return F.flatten(parts)
+
+    def around(pairs: Column) -> Column:
+        def one(span: Column, i: Column, ends: Column, heads: Column) -> Column:
+            first = F.greatest(2 * i + 2 - many, F.lit(1))
+            before = F.array_join(F.slice(ends, first, 2 * i + 2 - first), "")
+            after = F.array_join(F.slice(heads, 2 * i + 3, F.lit(many)), "")
+            return F.struct(
+                span["start"].alias("start"), span["end"].alias("end"), span["match"].alias("match"),
+                F.right(before, F.lit(WINDOW)).alias("before"), F.left(after, F.lit(WINDOW)).alias("after"),
+            )
+
+        return bound(
+            cut(pairs, F.right),
+            lambda ends: bound(
+                cut(pairs, F.left),
+                lambda heads: F.transform(placed(pairs), lambda span, i: one(span, i, ends, heads)),
+            ),
+        )
 
-    return F.aggregate(
-        pairs, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda seen: seen["found"]
-    )
+    spans = bound(matched, around if context else placed)
+    return F.filter(spans, lambda span: span["match"].isNotNull())
 
 
 def _found(text: Column, kind: Kind, place: int) -> Column:
@@ -161,16 +193,14 @@ def _found(text: Column, kind: Kind, place: int) -> Column:
     def scored(span: Column) -> Column:
         score = F.lit(kind.score)
         if kind.context:
-            first = F.greatest(span["start"] - WINDOW, F.lit(0))
-            before = F.substr(text, first + 1, span["start"] - first)
-            after = F.substr(text, span["end"] + 1, F.lit(WINDOW))
-            score = F.least(F.lit(1.0), score + F.when(before.rlike(near) | after.rlike(near), CONTEXT_BONUS).otherwise(0.0))
+            close = span["before"].rlike(near) | span["after"].rlike(near)
+            score = F.least(F.lit(1.0), score + F.when(close, CONTEXT_BONUS).otherwise(0.0))
         return F.struct(
             span["start"].alias("start"), F.lit(place).alias("place"), span["end"].alias("end"),
             F.lit(kind.name).alias("kind"), score.alias("score"),
         )
 
-    checked = F.filter(_positions(text, kind.pattern), lambda span: kind.check(span["match"]))
+    checked = F.filter(_positions(text, kind.pattern, bool(kind.context)), lambda span: kind.check(span["match"]))
     kept = F.filter(F.transform(checked, scored), lambda span: span["score"] >= THRESHOLD)
     return F.when(gate, kept.cast(f"array<{SPAN}>")).otherwise(F.from_json(F.lit("[]"), f"array<{SPAN}>"))
 
@@ -185,10 +215,27 @@ def all_spans(text: Column, base: Column) -> Column:
     """``base`` and the spans of the added kinds that overlap none of them, by start, then kind."""
     text = F.coalesce(text, F.lit(""))
     added = F.concat(*[_found(text, kind, len(BASE) + i) for i, kind in enumerate(ADDED)])
-    free = F.filter(
-        added, lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    )
-    return F.array_sort(F.concat(base, free))
+    is_base = F.lit(len(BASE))
+
+    def from_left(reached: Column, span: Column) -> Column:
+        value = F.struct(span.alias("span"), (span["start"] < reached).alias("covered"))
+        end = F.when(span["place"] < is_base, F.greatest(reached, span["end"])).otherwise(reached)
+        return F.struct(end.alias("state"), value.alias("value"))
+
+    def from_right(following: Column, seen: Column) -> Column:
+        span = seen["span"]
+        value = F.struct(span.alias("span"), (seen["covered"] | (following < span["end"])).alias("covered"))
+        first = F.when(span["place"] < is_base, F.least(following, span["start"])).otherwise(following)
+        return F.struct(first.alias("state"), value.alias("value"))
+
+    def merged(more: Column) -> Column:
+        kind = f"struct<span:{SPAN},covered:boolean>"
+        left = running(F.array_sort(F.concat(base, more)), F.lit(0), from_left, kind)
+        both = F.reverse(running(F.reverse(left), F.length(text), from_right, kind))
+        kept = F.filter(both, lambda x: (x["span"]["place"] < is_base) | ~x["covered"])
+        return F.when(F.size(more) == 0, base).otherwise(F.transform(kept, lambda x: x["span"]))
+
+    return bound(added, merged)
 
 
 def listed(spans: Column) -> Column:
@@ -200,18 +247,37 @@ def listed(spans: Column) -> Column:
 
 def redact(text: Column, spans: Column) -> Column:
     """The text with every span replaced by its kind in brackets; overlapping spans become one."""
-    none = F.from_json(F.lit("[]"), "array<string>")
-
-    def step(done: Column, span: Column) -> Column:
-        apart = span["start"] >= done["at"]
-        gap = F.substr(text, done["at"] + 1, span["start"] - done["at"])
-        part = F.concat(gap, F.lit("["), F.upper(span["kind"]), F.lit("]"))
-        return F.struct(
-            F.greatest(done["at"], span["end"]).alias("at"),
-            F.when(apart, F.array_append(done["parts"], part)).otherwise(done["parts"]).alias("parts"),
-        )
-
-    def finish(done: Column) -> Column:
-        return F.concat(F.array_join(done["parts"], ""), F.substr(text, done["at"] + 1, F.length(text)))
-
-    return F.aggregate(spans, F.struct(F.lit(0).alias("at"), none.alias("parts")), step, finish)
+    shape = "struct<start:int,end:int,label:string>"
+
+    def step(at: Column, span: Column) -> Column:
+        """Where the text goes on before this span, and its label if it is apart from the span before."""
+        apart = span["start"] >= at
+        label = F.when(apart, F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]")))
+        value = F.struct(F.when(apart, at).alias("start"), span["start"].alias("end"), label.alias("label"))
+        return F.struct(F.greatest(at, span["end"]).alias("state"), value.alias("value"))
+
+    def parts(cuts: Column) -> Column:
+        def part(number: Column) -> Column:
+            """The text of so many cuts, read from a piece of the text that begins with the first."""
+            some = F.slice(cuts, number * REDACTED + 1, F.lit(REDACTED))
+            first, last = some[0]["start"], F.element_at(some, -1)["end"]
+            return bound(
+                F.struct(F.substr(text, first + 1, last - first).alias("text"), first.alias("at")),
+                lambda piece: F.array_join(
+                    F.transform(
+                        some,
+                        lambda cut: F.concat(
+                            F.substr(piece["text"], cut["start"] - piece["at"] + 1, cut["end"] - cut["start"]), cut["label"]
+                        ),
+                    ),
+                    "",
+                ),
+            )
+
+        numbers = F.sequence(F.lit(0), F.floor((F.size(cuts) - 1) / REDACTED).cast("int"))
+        return F.array_join(F.transform(numbers, part), "")
+
+    cuts = F.filter(running(spans, F.lit(0), step, shape), lambda cut: cut["label"].isNotNull())
+    last = F.aggregate(spans, F.lit(0), lambda at, span: F.greatest(at, span["end"]))
+    changed = F.concat(bound(cuts, parts), F.substr(text, last + 1, F.length(text)))
+    return F.when(F.size(spans) == 0, text).otherwise(changed)
