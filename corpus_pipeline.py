@@ -2,8 +2,9 @@
 
 1. Language: documents whose language cannot be told are dropped (no letters,
    or the known languages together hold less than ``MIN_SHARE`` of the trigrams).
-2. Near-duplicates: documents whose five-word shingles have a similarity of 0.8
-   or more are linked; of each linked group the one with the smallest id stays.
+2. Near-duplicates: documents whose SimHash fingerprints over three words differ
+   in at most two bits are linked; of each linked group the one with the smallest
+   id stays.
 3. Personal data: spans are replaced by their kind in brackets.
 4. Mixing: documents are repeated or left out so that sources reach their target
    weights, and shuffled.
@@ -14,9 +15,10 @@ Every stage but the last returns the columns of the documents.  A stage is
 written as Parquet in the shared folder before the next one reads it, so a lost
 executor never costs more than one stage's tasks.
 
-Edge cases: rows that share an id count as one document for stage 2, of which
-the smallest text stays; rows with a null id are kept by stage 2; null texts are
-dropped by stage 1; an empty table gives an empty result.
+Edge cases: rows that share an id, or have none, are rows of their own for stage
+2 (a missing id comes last, and equal ids are ordered by a digest of the row), and
+of rows that agree in all columns one stays; null texts are dropped by stage 1;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,16 +26,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import langid, mixing, pii, shingles
+from tabloom.llm import langid, mixing, pii, simhash
 from tabloom.llm.bpe import ByteBpe
 from tabloom.llm.common import free_name
+from tabloom.operators.lookup import left_lookup
 from tabloom.scratch import materialize
 
-#: Near-duplicates of this stage: shingles of five words; fingerprints up to four bits apart are compared besides those that share a band.
-SHINGLE, DISTANCE, SEGMENTS = 5, 4, 5
 #: Smallest share of all known languages together for a document to stay.
 MIN_SHARE = 0.5
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -49,16 +50,29 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.where(known).select(*docs.columns)
 
 
+def _identity(docs: DataFrame, taken: list[str]) -> list[Column]:
+    """Whether the id is missing, the id, and two digests of all columns: equal for repeated rows only."""
+    every = [F.col(name) for name in taken]
+    return [F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), F.xxhash64(*every), F.xxhash64(F.lit(1), *every)]
+
+
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    groups = shingles.near_copy_groups(docs, DISTANCE, SEGMENTS, width=SHINGLE)
-    copies = groups.groupBy("doc_id").agg(F.min("component_id").alias("component_id")).where("component_id < doc_id")
-    others = [name for name in docs.columns if name != "doc_id"]
-    kept = docs.where("doc_id IS NOT NULL").join(copies.select("doc_id"), "doc_id", "left_anti")
-    one = F.min_by(F.struct(*others), F.coalesce("text", F.lit("")))
-    single = kept.groupBy("doc_id").agg(one.alias("row"))
-    single = single.select("doc_id", *[F.col("row")[name].alias(name) for name in others]).select(*docs.columns)
-    return single.unionByName(docs.where("doc_id IS NULL"))
+    """One document of each group of linked fingerprints."""
+    key, n, stays = (free_name(name, docs.columns) for name in ("identity", "n", "stays"))
+    keyed = docs.withColumn(key, F.struct(*_identity(docs, docs.columns)))
+    # A group is named by its smallest identity, so its first id stays; rows may share an id, or have none.
+    groups = simhash.near_duplicate_groups(keyed, key)
+    rows = groups.groupBy(key).agg(F.count("*").alias(n), F.min("component_id").alias("component_id"))
+    special = materialize(
+        rows.select(key, n, (F.col(key) == F.col("component_id")).alias(stays)).where(~F.col(stays) | (F.col(n) > 1)), "leaving"
+    )
+    marked = left_lookup(keyed, special.select(key, stays, n), [key], n)
+    kept = marked.where(F.col(stays).isNull()).select(*docs.columns)
+    if special.where(stays).isEmpty():
+        return kept
+    # Repeated rows of which one stays: only these are sent by their identity.
+    repeated = marked.where(F.col(stays)).dropDuplicates([key]).select(*docs.columns)
+    return kept.unionByName(repeated)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
