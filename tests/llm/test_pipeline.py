@@ -6,7 +6,7 @@ import struct
 import corpus_pipeline
 import public_tokenizers
 import pytest
-import xxhash
+from llm.test_simhash import plain_groups
 from pyspark.sql import functions as F
 
 from tabloom.llm import langid, mixing
@@ -43,32 +43,27 @@ def test_language_keeps_clean_documents(spark, stages):
     assert {r[0] for r in after} == kept
 
 
-def five_word_print(text):
-    words = text.encode().lower().split()
-    shingles = [b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))] if words else []
-    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
 def test_one_document_of_each_group_stays(stages):
     before = rows(stages[1])
-    prints = {r[0]: five_word_print(r[1]) for r in before}
-    label = {p: p for p in prints.values()}
-    changed = True
-    while changed:
-        changed = False
-        for a in label:
-            for b in label:
-                if (a ^ b).bit_count() <= corpus_pipeline.DISTANCE and label[b] < label[a]:
-                    label[a], changed = label[b], True
-    first = {}
-    for i in sorted(prints):
-        first.setdefault(label[prints[i]], i)
-    assert sorted(rows(stages[2])) == sorted(r for r in before if first[label[prints[r[0]]]] == r[0])
+    groups = plain_groups([r[:2] for r in before])
+    first = {i: component for i, _, component in groups}
+    assert sorted(rows(stages[2])) == sorted(r for r in before if first[r[0]] == r[0])
     texts = [r[1] for r in rows(stages[2])]
     assert len(set(texts)) == len(texts) < len(before)
 
 
+def test_rows_that_share_an_id_or_have_none_are_rows_of_their_own(spark):
+    words = [f"w{i}" for i in range(400)]
+    text = [" ".join(words[i * 40 : i * 40 + 40]) for i in range(10)]
+    data = [(1, text[0], "a"), (1, text[1], "a"), (1, text[0], "b"), (None, text[2], "a"), (None, text[2], "a"), (None, text[3], "a"),
+            (7, text[3], "a"), (8, text[4], "a"), (8, text[4], "a"), (9, text[4].upper(), "a")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(3)
+    found = [tuple(r) for r in corpus_pipeline.without_near_copies(spark, docs, "").collect()]
+    assert len(found) == 5
+    assert sorted((r[0], r[1]) for r in found if r[0]) == sorted([(1, text[0]), (1, text[1]), (7, text[3]), (8, text[4])])
+    assert [r for r in found if r[0] is None] == [(None, text[2], "a")]
+
+
 def test_personal_data_is_replaced_and_other_texts_stay(stages):
     before, after = {r[0]: r for r in rows(stages[2])}, {r[0]: r for r in rows(stages[3])}
     assert set(before) == set(after)
