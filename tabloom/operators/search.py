@@ -13,7 +13,8 @@ from tabloom.contracts import ContractError
 from tabloom.operators.features import STRATEGIES
 from tabloom.operators.learners import MODEL_NAMES
 
-SEARCH_SPACE_VERSION = 1
+#: 2: boosted trees with a leaf count and leaf penalties.
+SEARCH_SPACE_VERSION = 2
 COMPLETE = "COMPLETE"
 STUDY_PREFIX = "tabular-study"
 
@@ -50,11 +51,13 @@ SEARCH_SPACE = (
     ),
     Parameter("gbt_n_estimators", "gradient_boosting", low=100, high=800, step=50, whole=True),
     Parameter("gbt_learning_rate", "gradient_boosting", low=0.01, high=0.20, log=True),
-    # Spark grows trees level by level, so depth alone bounds them; the range is one it can train.
-    Parameter("gbt_max_depth", "gradient_boosting", low=3, high=8, whole=True),
+    Parameter("gbt_num_leaves", "gradient_boosting", low=15, high=127, whole=True),
+    Parameter("gbt_max_depth", "gradient_boosting", low=3, high=14, whole=True),
     Parameter("gbt_min_child_samples", "gradient_boosting", low=10, high=100, whole=True),
     Parameter("gbt_subsample", "gradient_boosting", low=0.60, high=1.0),
     Parameter("gbt_colsample_bytree", "gradient_boosting", low=0.60, high=1.0),
+    Parameter("gbt_reg_alpha", "gradient_boosting", low=1e-8, high=10.0, log=True),
+    Parameter("gbt_reg_lambda", "gradient_boosting", low=1e-8, high=10.0, log=True),
     Parameter("gbt_class_weight", "gradient_boosting", choices=("none", "balanced")),
 )
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tabloom.contracts import PEOPLE
 from tabloom.functions.clean import binary_label, clean_text, remap, safe_double, safe_long
-from tabloom.operators import capacity, crossval, fairness, features, prefix, quality, ranking, scoring, search, split
+from tabloom.operators import boosting, capacity, crossval, fairness, features, prefix, quality, ranking, scoring, search, split
 from tabloom.plans import modeling, views
 from tabloom.scratch import materialize, scratch_path
 from tabloom.sources import csv, manifests, registry, tables
@@ -50,10 +50,13 @@ BOOSTING = {
     "model_name": "gradient_boosting",
     "gbt_n_estimators": "10",
     "gbt_learning_rate": "0.1",
+    "gbt_num_leaves": "12",
     "gbt_max_depth": "4",
     "gbt_min_child_samples": "10",
     "gbt_subsample": "1.0",
     "gbt_colsample_bytree": "1.0",
+    "gbt_reg_alpha": "0.001",
+    "gbt_reg_lambda": "0.1",
     "gbt_class_weight": "none",
 }
 CONTRACT = {"source_sha256": "a", "cv_folds": 5, "random_state": 42, "search_space_version": 1}
@@ -545,11 +548,34 @@ def final_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Boosting of ``boosting_splits``, and its features in whole numbers.
+LEAFWISE = {"numTrees": 2, "learningRate": 0.3, "numLeaves": 6, "maxDepth": 4, "minRowsPerLeaf": 20, "regAlpha": 0.5, "regLambda": 1.0}
+LINE_FEATURES = {
+    "quantity": "CAST(round(l_quantity) AS bigint)",
+    "discount": "CAST(round(l_discount * 100) AS bigint)",
+    "tax": "CAST(round(l_tax * 100) AS bigint)",
+    "line": "CAST(l_linenumber AS bigint)",
+}
+LINE_LABEL = f"{LINE_FEATURES['quantity']} + 3 * {LINE_FEATURES['discount']} + CASE WHEN l_returnflag = 'R' THEN 20 ELSE 0 END > 45"
+
+
+def boosting_splits(spark: SparkSession, folder: str) -> DataFrame:
+    """Every split of two leaf-wise trees over all lines, with its gain and the rows on both sides."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").select(
+        F.array(*[F.expr(sql).cast("double") for sql in LINE_FEATURES.values()]).alias("features"),
+        F.expr(LINE_LABEL).cast("double").alias("label"),
+    )
+    model = boosting.LeafwiseBooster(**LEAFWISE).fit(lines)
+    schema = "tree int, step int, feature int, bin int, gain double, left_rows long, right_rows long"
+    names = [part.split()[0] for part in schema.split(", ")]
+    return rounded(spark.createDataFrame([tuple(s[n] for n in names) for s in model.splits], schema), "gain")
+
+
 def _tree_report(params: dict[str, str], spark: SparkSession, folder: str) -> DataFrame:
     """Size of a fitted tree model, and how its scores of the test rows are spread."""
     final = _final(spark, folder, params)[1]
     fitted = final.model.stages[-1]
-    deepest = max(tree.depth for tree in fitted.trees)
+    deepest = max(tree.depth if hasattr(tree, "depth") else boosting.depth(tree) for tree in fitted.trees)
     limit = int(next(value for name, value in params.items() if name.endswith("max_depth")))
     return final.scores.agg(
         F.lit(params["model_name"]).alias("model_name"),
@@ -760,6 +786,7 @@ QUERIES: dict[str, Query] = {
     "cv_report": cv_report,
     "final_report": final_report,
     "forest_report": partial(_tree_report, FOREST),
+    "boosting_splits": boosting_splits,
     "boosting_report": partial(_tree_report, BOOSTING),
     "initial_designs": initial_designs,
     "trial_candidates": trial_candidates,

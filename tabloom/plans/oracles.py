@@ -14,6 +14,7 @@ from tabloom.contracts import (
     PEOPLE,
     RELEVANT_EXPERIENCE,
 )
+from tabloom.operators import boosting
 from tabloom.operators.capacity import CURVE_FRACTIONS
 from tabloom.operators.scoring import MAX_REQUEST_ROWS
 from tabloom.operators.search import SEARCH_SPACE
@@ -502,6 +503,66 @@ _LABELLED = f"SELECT * FROM ({PEOPLE_SQL}) WHERE target IS NOT NULL"
 _HELD_OUT = f"SELECT * FROM ({split_sql('p', 'enrollee_id', 'target', 0.2, 42)}) WHERE split = 'test'"
 
 
+def splits_sql() -> str:
+    """Leaf-wise trees grown step by step: cells, gains, the best cut of all leaves, and the rows below it."""
+    set_, names = catalogue.LEAFWISE, list(catalogue.LINE_FEATURES)
+    scale, alpha, lam = float(boosting.SCALE), set_["regAlpha"], set_["regLambda"]
+
+    def part(g: str, h: str) -> str:
+        weight = f"greatest(abs({g} / {scale!r}::DOUBLE) - {alpha}::DOUBLE, 0::DOUBLE)"
+        return f"{weight} * {weight} / ({h} / {scale!r}::DOUBLE + {lam}::DOUBLE)"
+
+    bins = ", ".join(f"(dense_rank() OVER (ORDER BY {sql}) - 1)::BIGINT AS f{i}" for i, sql in enumerate(catalogue.LINE_FEATURES.values()))
+    base = f"SELECT ({catalogue.LINE_LABEL})::INT::DOUBLE AS label, {bins} FROM lineitem"
+    kept = ", ".join(["label", *[f"f{i}" for i in range(len(names))]])
+    parts = {"base": base}
+    parts["rows_0"] = "SELECT *, ln(avg(label) OVER () / (1 - avg(label) OVER ())) AS score FROM base"
+    able = " AND ".join(
+        f"{side}_n >= {set_['minRowsPerLeaf']} AND {side}_h / {scale!r}::DOUBLE >= {boosting.MIN_HESSIAN}" for side in ("left", "right")
+    )
+    for tree in range(1, set_["numTrees"] + 1):
+        p = "(1 / (1 + exp(-score)))"
+        parts[f"at_{tree}_0"] = (
+            f"SELECT {kept}, score, 0 AS leaf, 0 AS depth, floor(({p} - label) * {scale!r}::DOUBLE + 0.5)::BIGINT AS g,"
+            f" floor({p} * (1 - {p}) * {scale!r}::DOUBLE + 0.5)::BIGINT AS h FROM rows_{tree - 1}"
+        )
+        for step in range(1, set_["numLeaves"]):
+            before = f"at_{tree}_{step - 1}"
+            cells = " UNION ALL ".join(
+                f"SELECT leaf, {i} AS feature, f{i} AS bin, sum(g) AS g, sum(h) AS h, count(*) AS n"
+                f" FROM {before} WHERE depth < {set_['maxDepth']} GROUP BY ALL"
+                for i in range(len(names))
+            )
+            left = ", ".join(f"sum({x}) OVER (PARTITION BY leaf, feature ORDER BY bin) AS left_{x}" for x in "ghn")
+            all_ = ", ".join(f"sum({x}) OVER (PARTITION BY leaf, feature) AS all_{x}" for x in "ghn")
+            right = ", ".join(f"all_{x} - left_{x} AS right_{x}" for x in "ghn")
+            gain = f"{part('left_g', 'left_h')} + {part('right_g', 'right_h')} - {part('all_g', 'all_h')}"
+            parts[f"best_{tree}_{step}"] = (
+                f"SELECT *, {gain} AS gain FROM (SELECT *, {right} FROM (SELECT *, {left}, {all_} FROM ({cells})))"
+                f" WHERE {able} AND gain > 0 ORDER BY gain DESC, leaf, feature, bin LIMIT 1"
+            )
+            value = "CASE b.feature " + " ".join(f"WHEN {i} THEN r.f{i}" for i in range(len(names))) + " END"
+            columns = ", ".join(f"r.{name}" for name in kept.split(", "))
+            parts[f"at_{tree}_{step}"] = (
+                f"SELECT {columns}, r.score, CASE WHEN {value} > b.bin THEN {step} ELSE r.leaf END AS leaf,"
+                f" r.depth + CASE WHEN b.leaf IS NULL THEN 0 ELSE 1 END AS depth, r.g, r.h"
+                f" FROM {before} r LEFT JOIN best_{tree}_{step} b ON b.leaf = r.leaf"
+            )
+        last = f"at_{tree}_{set_['numLeaves'] - 1}"
+        weight = f"sign(sum(g)) * greatest(abs(sum(g) / {scale!r}::DOUBLE) - {alpha}, 0)"
+        parts[f"rows_{tree}"] = (
+            f"SELECT {kept}, score + {set_['learningRate']}::DOUBLE * value AS score FROM {last} JOIN"
+            f" (SELECT leaf, -({weight}) / (sum(h) / {scale!r}::DOUBLE + {lam}) AS value FROM {last} GROUP BY leaf) USING (leaf)"
+        )
+    splits = " UNION ALL ".join(
+        f"SELECT {tree} AS tree, {step} AS step, feature, bin, round(gain, 6) AS gain, left_n::BIGINT AS left_rows,"
+        f" right_n::BIGINT AS right_rows FROM best_{tree}_{step}"
+        for tree in range(1, set_["numTrees"] + 1)
+        for step in range(1, set_["numLeaves"])
+    )
+    return "WITH " + ", ".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in parts.items()) + " " + splits
+
+
 def tree_sql(params: dict[str, str], trees: str) -> str:
     """Size of a tree model and counts of the test rows."""
     return with_tables(
@@ -551,6 +612,7 @@ SELECT {catalogue.FOLDS}::BIGINT AS cv_folds, count(*) AS development_rows, roun
 """,
     "final_report": with_tables(_FINAL, p=_LABELLED, t=_HELD_OUT),
     "forest_report": tree_sql(catalogue.FOREST, "rf_n_estimators"),
+    "boosting_splits": splits_sql(),
     "boosting_report": tree_sql(catalogue.BOOSTING, "gbt_n_estimators"),
     "model_info": with_tables(
         f"""
@@ -799,7 +861,7 @@ EXCEPT SELECT study, model_name, strategy, include_city FROM t WHERE state = 'CO
     "trial_params": with_tables(
         """
 SELECT trial, coalesce(class_weight, 'none') AS logged_class_weight, class_weight,
-       'tabular-study-v1-' || substr(sha256(study), 1, 12) || '-cv' || cv_folds AS study_name FROM t
+       'tabular-study-v2-' || substr(sha256(study), 1, 12) || '-cv' || cv_folds AS study_name FROM t
 """,
         t=TRIALS,
     ),

@@ -35,7 +35,8 @@ PARAMS = {
         "rf_class_weight": "balanced_subsample",
     },
     "gradient_boosting": {
-        "gbt_n_estimators": "3", "gbt_learning_rate": "0.1", "gbt_max_depth": "9",
+        "gbt_n_estimators": "3", "gbt_learning_rate": "0.1", "gbt_max_depth": "9", "gbt_num_leaves": "6",
+        "gbt_reg_alpha": "0.001", "gbt_reg_lambda": "0.1",
         "gbt_min_child_samples": "5", "gbt_subsample": "0.8", "gbt_colsample_bytree": "0.9",
         "gbt_class_weight": "none",
     },
@@ -48,10 +49,10 @@ def test_estimator_parameters(spark):
     assert logistic.getRegParam() == pytest.approx(1 / 200)
     assert logistic.getElasticNetParam() == 1.0 and not logistic.getStandardization()
     boosting = learners.build_estimator({"model_name": "gradient_boosting"} | PARAMS["gradient_boosting"], 100)
-    assert boosting.getMaxDepth() == 9
+    assert boosting.getOrDefault("maxDepth") == 9 and boosting.getOrDefault("numLeaves") == 6
     with pytest.raises(ValueError, match="rf_max_depth"):
         learners.build_estimator({"model_name": "random_forest"} | PARAMS["random_forest"] | {"rf_max_depth": "31"}, 100)
-    assert boosting.getFeatureSubsetStrategy() == "0.9"
+    assert boosting.getOrDefault("featureShare") == 0.9 and boosting.getOrDefault("regLambda") == 0.1
     with pytest.raises(ValueError, match="logistic_c"):
         learners.build_estimator({"model_name": "logistic_regression"}, 100)
     with pytest.raises(ValueError, match="unsupported"):
