@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import partial
 
 from pyspark.ml import PipelineModel
@@ -14,9 +15,11 @@ from pyspark.sql import functions as F
 from tabloom.contracts import PEOPLE
 from tabloom.functions.clean import binary_label, clean_text, remap, safe_double, safe_long
 from tabloom.operators import boosting, capacity, crossval, fairness, features, prefix, quality, ranking, scoring, search, split
+from tabloom.operators.lookup import left_lookup
 from tabloom.plans import modeling, views
 from tabloom.scratch import materialize, scratch_path
 from tabloom.sources import csv, manifests, registry, tables
+from tabloom.streaming.requests import score_request_stream
 from tabloom.streaming.scoring import read_batches, score_stream, stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -708,6 +711,44 @@ def stream_score(spark: SparkSession, folder: str) -> DataFrame:
     return _fates(done, refused)
 
 
+#: Request rows arrive in three files; requests ending in LATE_DIGIT announce one row too many.
+REQUEST_WAIT = timedelta(hours=1)
+LATE_DIGIT = 7
+
+
+def split_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Request rows with the file they come in, when they arrive, and how many rows their request announces."""
+    keyed = _keyed(spark.sql(views.REQUESTS, events=spark.read.parquet(f"{folder}/events.parquet")))
+    sizes = materialize(keyed.where("request_id IS NOT NULL").groupBy("request_id").agg(F.count("*").alias("n")), "sizes")
+    counted = left_lookup(keyed, sizes.withColumn("expected", F.col("n")), ["request_id"], "n")
+    more = F.when(F.col("request_id") % 10 == LATE_DIGIT, 1).otherwise(0)
+    # The two halves of a request come in the first two files; every fifth request comes whole, a day later.
+    file = F.when(F.col("request_id") % 5 == 0, 2).otherwise((F.col("event_id") % 4 >= 2).cast("int"))
+    return counted.withColumns({
+        "expected": F.col("expected") + more, "file": file,
+        "arrived": F.timestamp_seconds(F.when(file == 2, 86_400).otherwise(file * 60)),
+    })
+
+
+def stream_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """What became of every candidate when its request came in two micro-batches."""
+    rows = materialize(split_requests(spark, folder), "split")
+    source = scratch_path(spark, "files")
+    for number in range(3):
+        rows.where(F.col("file") == number).drop("file").coalesce(1).write.mode("append").parquet(source)
+    schema = rows.drop("file").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    target, bad = scratch_path(spark, "scored"), scratch_path(spark, "rejected")
+    score_request_stream(
+        stream, partial(scoring.parse_requests, payload="payload", contract=REQUEST), _registered_model(spark, folder),
+        "request_id", "event_id", "expected", "arrived", REQUEST_WAIT, target, bad, scratch_path(spark, "open"),
+        scratch_path(spark, "stream"),
+    ).awaitTermination()
+    done = read_batches(spark, target, "event_id bigint, request_id bigint, p double, priority_rank bigint")
+    refused = read_batches(spark, bad, "event_id bigint, request_id bigint, reasons array<string>")
+    return _fates(done, refused)
+
+
 def model_info(spark: SparkSession, folder: str) -> DataFrame:
     people, final = _final(spark, folder, LOGISTIC)
     store = registry.ModelRegistry(spark, scratch_path(spark, "registry"))
@@ -801,5 +842,6 @@ QUERIES: dict[str, Query] = {
     "score_sanity": score_sanity,
     "score_batch": score_batch,
     "stream_score": stream_score,
+    "stream_requests": stream_requests,
     "model_info": model_info,
 }

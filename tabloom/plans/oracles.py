@@ -496,6 +496,9 @@ FROM (
     ON z.request_id = x.request_id
 ) r
 """
+_LATE = _BATCH.replace(
+    "WHEN z.flawed", f"WHEN x.request_id % 10 = {catalogue.LATE_DIGIT} THEN 'request:late' WHEN z.flawed"
+)
 _KEYED = f"SELECT event_id, reasons, {views.REQUEST_ID} AS request_id FROM x"
 BATCH = with_tables(_BATCH, q=REQUESTS, f=request_fields(), x=_CHECKED, y=_KEYED)
 
@@ -905,4 +908,5 @@ SELECT count(*) AS rows, count(*) FILTER (value IS NULL) AS missing, count(*) FI
     ),
     "score_batch": BATCH,
     "stream_score": BATCH,
+    "stream_requests": with_tables(_LATE, q=REQUESTS, f=request_fields(), x=_CHECKED, y=_KEYED),
 }

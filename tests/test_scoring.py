@@ -1,6 +1,7 @@
 """Request contracts, bounds, ranks, score checks and the scoring stream."""
 
 import json
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from tabloom.contracts import PEOPLE, ContractError
 from tabloom.operators import scoring
 from tabloom.operators.learners import positive_probability
+from tabloom.streaming.requests import open_requests, score_request_stream
 from tabloom.streaming.scoring import read_batches, score_stream
 
 CONTRACT = scoring.request_contract(PEOPLE, {"city": (6, 20)})
@@ -158,6 +160,47 @@ def test_stream_scores_and_rejects(spark, tmp_path):
     assert run().count() == 4  # only the new file is scored
 
 
+def test_requests_in_several_batches(spark, tmp_path):
+    """Rows (request, index, value, expected, arrival in minutes) of one file each; the stream is started once per file."""
+    files = [
+        [(0, 0, 0.8, 3, 0), (1, 0, 0.5, 2, 0), (2, 0, 0.3, 1, 1), (None, 0, 0.3, 1, 1), (3, 0, 0.2, 5000, 1), (6, 0, 0.1, 2, 1)],
+        [(0, 1, 0.1, 3, 5), (3, 1, 0.2, 5000, 5), (6, 1, 7.0, 2, 6)],
+        [(0, 2, 0.4, 3, 30), (4, 0, 0.6, 2, 90)],
+        [(1, 1, 0.4, 2, 2), (5, 0, 0.6, 1, 91), (5, 1, 0.6, 1, 91)],
+        [(7, 0, 0.6, 1, 200)],
+    ]
+    schema = "request_id int, input_index int, payload string, expected int, arrived timestamp"
+    paths = [str(tmp_path / name) for name in ("scored", "rejected", "state", "checkpoint")]
+    epoch = datetime(2024, 1, 1)
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+        score_request_stream(
+            stream, lambda df: scoring.parse_requests(df, "payload", CONTRACT), formula(), "request_id", "input_index", "expected",
+            "arrived", timedelta(hours=1), *paths, maximum=100,
+        ).awaitTermination()
+
+    for file in files:
+        rows = [(r, i, json.dumps(GOOD | {"city_development_index": v}), n, epoch + timedelta(minutes=at)) for r, i, v, n, at in file]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+        run()
+    scored = read_batches(spark, paths[0], "request_id int, input_index int, p double, priority_rank bigint")
+    got = {(r.request_id, r.input_index): (r.p, r.priority_rank) for r in scored.collect()}
+    assert scored.count() == len(got)
+    assert got == {(0, 0): (0.8, 3), (0, 1): (0.1, 1), (0, 2): (0.4, 2), (2, 0): (0.3, 1), (7, 0): (0.6, 1)}
+    refused = read_batches(spark, paths[1], "request_id int, input_index int, reasons array<string>")
+    why = sorted(((r.request_id, r.input_index, ";".join(r.reasons)) for r in refused.collect()), key=str)
+    assert why == sorted([
+        (1, 0, "request:late"), (1, 1, "request:late"), (3, 0, "request:size"), (3, 1, "request:size"), (4, 0, "request:late"),
+        (5, 0, "request:size"), (5, 1, "request:size"), (6, 0, "request:refused"), (6, 1, "city_development_index:range"),
+        (None, 0, "request:key"),
+    ], key=str)
+    run()
+    assert read_batches(spark, paths[0], "request_id int").count() == 5  # a restart without new files changes nothing
+    left = open_requests(spark, paths[2], 4, schema)
+    assert left.count() == 0
+
+
 def test_one_row_is_a_batch(spark):
     df = spark.createDataFrame([(0, 0, 0.25)], "request_id int, input_index int, city_development_index double")
     row = scoring.score_batch(df, formula(), "request_id", "input_index")[0].first()
