@@ -89,3 +89,35 @@ def global_rank(
     """Add the 1-based position of each row in a total order, per group."""
     ones = df.withColumn("__one", F.lit(1).cast("bigint"))
     return running_totals(ones, order, {rank: "__one"}, groups, parts, rows).drop("__one")
+
+
+def with_next(
+    df: DataFrame, order: Sequence[Column], values: dict[str, str], parts: int | None = None, rows: int | None = None
+) -> DataFrame:
+    """Add columns of the next row in a total order over all rows; NULL for the last row.
+
+    ``values`` maps the new column to the one that is read.  Rows are range
+    partitioned; a part's last row takes the first row of the next part, from a
+    table of one row per part.
+    """
+    if parts is None:
+        parts = part_count(df.count() if rows is None else rows)
+    if parts == 1:
+        # Proven small: at most ROWS_PER_PART rows in total.
+        window = Window.orderBy(*order)
+        return df.select("*", *[F.lead(value).over(window).alias(name) for name, value in values.items()])
+    ranged = materialize(df.repartitionByRange(parts, *order).withColumn(_PART, F.spark_partition_id()), "ranged")
+    inside = Window.partitionBy(_PART).orderBy(*order)
+    read = {name: F.struct(value) for name, value in values.items()}
+    local = ranged.select("*", *[F.lead(value).over(inside).alias(f"__{name}") for name, value in read.items()])
+    first = F.row_number().over(inside) == 1
+    heads = ranged.withColumn("__first", first).where("__first").select(
+        _PART, *[value.alias(f"__head_{name}") for name, value in read.items()]
+    )
+    # One row per part, at most MAX_PARTS.
+    every = Window.orderBy(_PART)
+    following = heads.select(_PART, *[F.lead(f"__head_{name}").over(every).alias(f"__head_{name}") for name in read])
+    joined = local.join(F.broadcast(following), _PART, "left")
+    return joined.select(
+        *df.columns, *[F.coalesce(f"__{name}", f"__head_{name}")[value].alias(name) for name, value in values.items()]
+    )

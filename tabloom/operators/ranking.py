@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.clean import ratio
-from tabloom.operators.prefix import part_count, running_totals
+from tabloom.operators.prefix import part_count, running_totals, with_next
 from tabloom.scratch import materialize
 
 COUNTS = {"tp": "positives", "predicted": "rows"}
@@ -152,11 +152,27 @@ def precision_recall_points(curve: ScoreCurve) -> DataFrame:
     return points.unionByName(closing).withColumn("baseline", F.lit(baseline))
 
 
-def roc_points(curve: ScoreCurve) -> DataFrame:
-    """False- and true-positive rate at each threshold, and the origin."""
+def _corners(curve: ScoreCurve) -> DataFrame:
+    """Points at which the curve's step changes, and both ends.
+
+    A point's own counts are the step that leads to it, so only the step after
+    it is looked up.
+    """
+    steps = with_next(curve.table, [F.col("score").desc()], {"__rows": "rows", "__positives": "positives"})
+    changes = (F.col("__positives") != F.col("positives")) | (F.col("__rows") != F.col("rows"))
+    ends = F.col("__rows").isNull() | (F.col("predicted") == F.col("rows"))
+    return steps.where(ends | changes)
+
+
+def roc_points(curve: ScoreCurve, every: bool = False) -> DataFrame:
+    """False- and true-positive rate at each threshold, and the origin.
+
+    Points between two equal steps lie on a line with their neighbours and are
+    left out unless ``every`` is set.
+    """
     rows, positives = _totals(curve)
     spark = curve.table.sparkSession
-    points = curve.table.select(
+    points = (curve.table if every else _corners(curve)).select(
         F.col("score").alias("threshold"),
         ratio(F.col("predicted") - F.col("tp"), F.lit(rows - positives)).alias("fpr"),
         ratio(F.col("tp"), F.lit(positives)).alias("tpr"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tabloom.contracts import PEOPLE
 from tabloom.functions.clean import binary_label, clean_text, remap, safe_double, safe_long
-from tabloom.operators import boosting, capacity, crossval, fairness, features, prefix, quality, ranking, scoring, search, split
+from tabloom.operators import align, boosting, capacity, crossval, fairness, features, prefix, quality, ranking, scoring, search, split
 from tabloom.operators.lookup import left_lookup
 from tabloom.plans import modeling, views
 from tabloom.scratch import materialize, scratch_path
@@ -408,6 +408,17 @@ def scored_join(spark: SparkSession, folder: str) -> DataFrame:
     return documents.join(views.table(spark, folder, "labels"), "doc_id")
 
 
+def aligned_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels beside scores that were written without an id, in other files, by position."""
+    rows = spark.sql(views.VALUE_SCORES, events=views.table(spark, folder, "events"))
+    paths = []
+    for name, parts, kept in (("labels", 5, ["event_id", "y"]), ("scores", 3, ["p"])):
+        paths.append(scratch_path(spark, name))
+        dealt = rows.repartitionByRange(parts, "event_id").sortWithinPartitions("event_id")
+        dealt.select(*kept).write.parquet(paths[-1])
+    return rounded(align.align(spark, *paths), "p")
+
+
 def classification_metrics(spark: SparkSession, folder: str) -> DataFrame:
     metrics = ranking.row_metrics(scored(spark, folder), "y", "p", THRESHOLD)
     return rounded(metrics, "recall", "precision", "f1", "f2")
@@ -806,6 +817,7 @@ QUERIES: dict[str, Query] = {
     "value_ranking": value_ranking,
     "priority_rank": priority_rank,
     "scored_join": scored_join,
+    "aligned_scores": aligned_scores,
     "classification_metrics": classification_metrics,
     "brier": brier,
     "average_precision": partial(_ranking, "average_precision"),

@@ -773,6 +773,7 @@ SELECT request_id, input_index, row_number() OVER (PARTITION BY request_id ORDER
 FROM ({EVERYONE})
 """,
     "scored_join": "SELECT d.doc_id, lang, n_chars, quality, toxic FROM documents d JOIN labels l ON l.doc_id = d.doc_id",
+    "aligned_scores": f"SELECT event_id, y, round(p, 6) AS p FROM ({views.VALUE_SCORES.format(events='events')})",
     "classification_metrics": "SELECT " + ", ".join(
         f"round({value}, 6) AS {name}" for name, value in _THRESHOLD.items()
     ) + f" FROM ({SCORED})",
@@ -804,7 +805,10 @@ UNION ALL SELECT NULL, 1.0, 0.0, round(avg(y), 6) FROM s
     "roc_curve": with_tables(
         f"""
 SELECT round(p, 6) AS threshold, round(fp / (SELECT sum(1 - y) FROM s), 6) AS fpr,
-       round(tp / (SELECT sum(y) FROM s), 6) AS tpr FROM ({curve_sql('s')})
+       round(tp / (SELECT sum(y) FROM s), 6) AS tpr
+FROM (SELECT *, lead(fp) OVER w - 2 * fp + lag(fp) OVER w AS bend_fp, lead(tp) OVER w - 2 * tp + lag(tp) OVER w AS bend_tp
+      FROM ({curve_sql('s')}) WINDOW w AS (ORDER BY p DESC))
+WHERE bend_fp IS NULL OR bend_fp <> 0 OR bend_tp <> 0
 UNION ALL SELECT NULL, 0.0, 0.0
 """,
         s=SCORED,

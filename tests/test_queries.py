@@ -73,7 +73,7 @@ def test_scan_reads_only_needed_columns(spark):
     "name",
     [
         "global_rank", "average_precision", "f2_threshold", "capacity_curve", "document_fairness", "fold_metrics",
-        "document_scale", "one_hot", "priority_rank", "stratified_split", "stratified_folds",
+        "document_scale", "one_hot", "priority_rank", "roc_curve", "stratified_split", "stratified_folds",
     ],
 )
 def test_many_parts_and_no_broadcast_give_the_same(spark, database, monkeypatch, name):
