@@ -6,8 +6,9 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 128 * 1024 * 1024
@@ -15,10 +16,29 @@ HOT_KEYS = 10_000
 SALTS = 64
 
 
+def _bytes(value: Column, kind: DataType) -> Column:
+    """Bytes of a value: text and binary as they are, lists by their items, 8 for any other value."""
+    fixed = F.lit(8)
+    if isinstance(kind, (StringType, BinaryType)):
+        return fixed + F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, StructType):
+        return sum((_bytes(value[field.name], field.dataType) for field in kind), fixed)
+    if isinstance(kind, MapType):
+        parts = ((F.map_keys(value), kind.keyType), (F.map_values(value), kind.valueType))
+        return sum((_bytes(part, ArrayType(inner)) for part, inner in parts), fixed)
+    if isinstance(kind, ArrayType):
+        inner = kind.elementType
+        if isinstance(inner, (StringType, BinaryType, StructType, MapType, ArrayType)):
+            items = F.aggregate(value, F.lit(0).cast("long"), lambda total, x: total + _bytes(x, inner).cast("long"))
+        else:
+            items = 8 * F.size(value).cast("long")
+        return fixed + F.coalesce(F.when(value.isNotNull(), items), F.lit(0))
+    return fixed
+
+
 def _size(table: DataFrame) -> tuple[int, int]:
-    """Rows and a byte count: text as it is, 8 bytes for any other value."""
-    texts = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in table.dtypes if kind == "string"]
-    row = sum(texts, F.lit(8 * len(table.columns)))
+    """Rows and a byte count."""
+    row = sum((_bytes(F.col(f"`{field.name}`"), field.dataType) for field in table.schema), F.lit(0))
     counted = table.agg(F.count("*"), F.coalesce(F.sum(row.cast("bigint")), F.lit(0))).first()
     return counted[0], counted[1]
 
