@@ -15,6 +15,7 @@ the formatted text) that hold assistant texts; nothing of the template is in it.
 Edge cases: a null text is an empty one and a null role an empty one; an empty
 list of messages gives no turns and an empty formatted text; a record that is
 null, no JSON, or of an unknown shape has null turns, layout and formatted text;
+what follows a complete record is ignored;
 texts of any length are kept whole (a record above ``LARGE`` bytes takes its shape
 from a skeleton without its texts, since a variant bounds both a text and a
 record); repeated rows are formatted alike; other columns stay untouched.
@@ -186,12 +187,20 @@ def _large_turns(layout: Layout, record: Column, shaped: Column) -> Column:
     return F.filter(F.array(*turns), lambda x: x.isNotNull())
 
 
+def _broken(record: Column) -> Column:
+    """Whether a text is no JSON; read to its end, and of any length."""
+    options = LONGEST | {"columnNameOfCorruptRecord": "__broken"}
+    return F.from_json(record, "struct<__none:string,__broken:string>", options)["__broken"].isNotNull()
+
+
 def canonical(df: DataFrame, record: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """Adds ``layout`` and ``turns`` for a column of JSON text."""
     known = {hashlib.sha256(s.encode()).hexdigest(): layout.name for layout in layouts for s in layout.shapes()}
     names = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
     large = F.octet_length(F.col(record)) > LARGE
-    parsed = df.withColumn("__record", F.try_parse_json(F.when(large, skeleton(F.col(record))).otherwise(F.col(record))))
+    # A skeleton has lost what breaks a text, so the whole text is judged.
+    shown = F.when(large, F.when(~_broken(F.col(record)), skeleton(F.col(record)))).otherwise(F.col(record))
+    parsed = df.withColumn("__record", F.try_parse_json(shown))
     named = parsed.withColumn("layout", F.element_at(names, fingerprint(F.col("__record"))))
     turns = F.lit(None).cast(TURNS)
     for layout in layouts:

@@ -107,3 +107,15 @@ def test_a_text_beyond_the_limits_of_a_variant(spark):
     assert rows[1].layout == "messages"
     assert [tuple(t) for t in rows[1].turns] == [("user", *digest), ("assistant", len(tail), hashlib.md5(tail.encode()).hexdigest())]
     assert rows[2].layout is None and rows[2].turns is None
+
+
+def test_broken_records_have_no_layout_at_any_size(spark, monkeypatch):
+    good = '{"prompt": "a \\"b\\" é", "response": "ok\\n"}'
+    records = [good, '{"prompt": "a", "response": "\\q"}', '{"prompt": "a\nb", "response": "ok"}', '{"prompt": "a", "response": "ok"',
+               '{"prompt": "a", "response": "ok"} x', "", "nothing", None, '{"messages": [{"role": "user", "content": "\\q"}]}']
+    df = spark.createDataFrame(list(enumerate(records)), "i int, record string")
+    small = [(r.layout, r.turns) for r in chat.canonical(df, "record").orderBy("i").collect()]
+    monkeypatch.setattr(chat, "LARGE", 0)
+    large = [(r.layout, r.turns) for r in chat.canonical(df, "record").orderBy("i").collect()]
+    assert small == large and [layout for layout, _ in small] == ["prompt_response", *[None] * 3, "prompt_response", *[None] * 4]
+    assert [t.text for t in small[0][1]] == ['a "b" é', "ok\n"]
