@@ -1,7 +1,9 @@
 """Nearest vectors by inner product, from stable projections in a kd-tree.
 
 Vectors are first made longer by one coordinate, sqrt(M^2 - |x|^2) with M the
-largest length, so that a larger inner product is a smaller distance.  A random
+largest norm, so that a larger inner product is a smaller distance.  Vectors of
+each width (number of components) have cells of their own, so one search serves
+all widths; inner products exist within a width only.  A random
 Gaussian projection to ``PROJECTED`` dimensions is 2-stable: the squared
 projected distance of a pair is its squared distance times a chi-square variable
 with that many degrees of freedom.  A query verifies projected neighbours
@@ -16,11 +18,12 @@ a cell are bounded in number; queries stream past them.
 
 Equal vectors are one point with the smallest ids of its rows, of which no
 answer can need more than k + 1, so copies cost nothing.  Every vector is
-indexed; only the borders of the cells are fitted on a sample.
+indexed; only the borders of the cells are fitted on a sample, of
+``SAMPLE_PER_CELL`` points per cell and never fewer than ``SAMPLE``.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite
-components take no part, nor do null ids, nor vectors of another length than the
-commonest one; repeated rows count once; a candidate with the query's id is not
+components take no part, nor do null ids; a query finds vectors of its own width,
+so the only vector of a width gives no rows; repeated rows count once; a candidate with the query's id is not
 returned; ties go to the smaller id; fewer candidates give fewer rows; an empty
 table gives none.  Other columns are ignored.
 """
@@ -38,8 +41,8 @@ NEIGHBOURS = 20
 PROJECTED = 8
 CONFIDENCE = 0.95
 SEED = 5
-#: Points that the cells' borders are fitted on.
-SAMPLE = 20_000
+#: Points that the cells' borders are fitted on, about: at least so many, and so many for each cell.
+SAMPLE, SAMPLE_PER_CELL = 20_000, 16
 CELL_ROWS, MAX_CELLS = 4096, 1 << 16
 LEAF_ROWS = 128
 #: Queries that are searched together.
@@ -106,6 +109,17 @@ def _cell_of(points, levels):
     return cell
 
 
+def _by_width(batch, column: int):
+    """(width, rows) for each width of vectors in a batch."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    widths = pc.list_value_length(batch.column(column)).to_numpy(zero_copy_only=False)
+    for width in np.unique(widths):
+        yield int(width), batch.take(pa.array(np.flatnonzero(widths == width)))
+
+
 def _box_distances(queries, low, high):
     """Squared distance of each query to each box."""
     import numpy as np
@@ -172,12 +186,12 @@ class _Leaves:
         return scores, places
 
 
-def _searcher(longest: float, k: int):
-    """From sorted rows of a cell (points before queries) to the k best points per query."""
-    quantile = chi_square_quantile(CONFIDENCE)
+def _searcher(norms: dict, k: int):
+    """From sorted rows of a cell (points before queries) to the k best points per query.
 
-    def limit(squared):
-        return quantile * (squared + SLACK * longest)
+    ``norms`` holds the largest squared norm of each width; a cell has one width.
+    """
+    quantile = chi_square_quantile(CONFIDENCE)
 
     def run(batches):
         import numpy as np
@@ -190,7 +204,12 @@ def _searcher(longest: float, k: int):
             queries = float_matrix(table["vector"])
             projected = float_matrix(table["projected"])
             bound = table["bound"].to_numpy()
+            longest = norms[queries.shape[1]]
             base = (queries * queries).sum(axis=1) + longest
+
+            def limit(squared):
+                return quantile * (squared + SLACK * longest)
+
             scores, places = tree.search(queries, projected, bound, base, limit, k)
             asked, rank = np.nonzero((places >= 0) & (scores >= bound[:, None] - SLACK * longest))
             found = places[asked, rank]
@@ -228,7 +247,7 @@ def _searcher(longest: float, k: int):
     return run
 
 
-def _prepared(spark, classes: DataFrame, size: int, longest: float, cells: int) -> DataFrame:
+def _prepared(spark, classes: DataFrame, norms: dict, cells: dict, first_cell: dict, totals: dict) -> DataFrame:
     """Projections of points and of queries, and the cell of each point."""
     import numpy as np
 
@@ -236,31 +255,35 @@ def _prepared(spark, classes: DataFrame, size: int, longest: float, cells: int)
         def run(batches):
             import pyarrow as pa
 
-            matrix = _projection(size)
-            for batch in batches:
-                vectors = float_matrix(batch.column(1))
-                rest = np.sqrt(np.maximum(longest - (vectors * vectors).sum(axis=1), 0.0))
-                query = vectors @ matrix[:-1]
-                point = query + rest[:, None] * matrix[-1]
-                cell = _cell_of(point, levels) if levels else np.zeros(len(point), dtype=np.int64)
+            for whole in batches:
+                for width, batch in _by_width(whole, 1):
+                    matrix = _projection(width)
+                    vectors = float_matrix(batch.column(1))
+                    rest = np.sqrt(np.maximum(norms[width] - (vectors * vectors).sum(axis=1), 0.0))
+                    query = vectors @ matrix[:-1]
+                    point = query + rest[:, None] * matrix[-1]
+                    cell = first_cell[width] + _cell_of(point, levels.get(width, []))
 
-                def lists(values):
-                    offsets = pa.array(np.arange(0, values.size + 1, PROJECTED), pa.int32())
-                    return pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))
+                    def lists(values):
+                        offsets = pa.array(np.arange(0, values.size + 1, PROJECTED), pa.int32())
+                        return pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))
 
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(cell), lists(point), lists(query)], ["node", "cell", "point", "query"]
-                )
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0), pa.array(cell), lists(point), lists(query)], ["node", "cell", "point", "query"]
+                    )
 
         return run
 
     schema = "node long, cell long, point array<double>, query array<double>"
-    levels: list = []
-    if cells > 1:
-        # A bounded sample fits the borders only.
-        sample = classes.orderBy(F.xxhash64("node")).limit(SAMPLE).select("node", "vector")
-        rows = sample.mapInArrow(project([]), schema).select("point").toArrow()
-        levels = _splits(float_matrix(rows["point"]), cells)
+    levels: dict = {}
+    for width, count in cells.items():
+        if count > 1:
+            # A bounded sample, drawn by hash, fits the borders only.
+            share = min(1.0, max(SAMPLE, SAMPLE_PER_CELL * count) / totals[width])
+            drawn = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < int(share * (1 << 30))
+            sample = classes.where((F.size("vector") == width) & drawn).select("node", "vector")
+            rows = sample.mapInArrow(project({}), schema).select("point").toArrow()
+            levels[width] = _splits(float_matrix(rows["point"]), count)
     return classes.select("node", "vector").mapInArrow(project(levels), schema)
 
 
@@ -284,12 +307,6 @@ def nearest(
         "vectors",
     )
     result = "query_id long, rank int, vec_id long, score double"
-    commonest = valid.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
-    if commonest is None:
-        return spark.createDataFrame([], result)
-    size = commonest["size"]
-    valid = valid.where(F.size("vector") == size)
-
     # The k + 1 smallest ids of equal vectors: Spark keeps that many per task before it shuffles.
     smallest = valid.withColumn("place", F.dense_rank().over(Window.partitionBy("key").orderBy("id"))).where(
         F.col("place") <= k + 1
@@ -302,12 +319,20 @@ def nearest(
         members.join(asking, "key", "left").withColumn("node", F.monotonically_increasing_id()), "points"
     )
     squared = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
-    total, longest = classes.agg(F.count("*"), F.max(squared)).first()
-    cells = 1
-    while cells < MAX_CELLS and cells * CELL_ROWS < total:
-        cells *= 2
+    # One row per width.
+    widths = classes.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n"), F.max(squared).alias("norm"))
+    norms, totals, cells, first_cell, next_cell = {}, {}, {}, {}, 0
+    for row in widths.orderBy("width").collect():
+        norms[row["width"]], totals[row["width"]] = row["norm"], row["n"]
+        count = 1
+        while count < MAX_CELLS and count * CELL_ROWS < row["n"]:
+            count *= 2
+        cells[row["width"]], first_cell[row["width"]] = count, next_cell
+        next_cell += count
+    if not norms:
+        return spark.createDataFrame([], result)
 
-    placed = materialize(_prepared(spark, classes, size, longest, cells), "projections")
+    placed = materialize(_prepared(spark, classes, norms, cells, first_cell, totals), "projections")
     points = materialize(
         classes.join(placed, "node").select(
             "cell", F.lit(0).alias("kind"), "node", F.col("ids")[0].alias("first"), "vector",
@@ -316,11 +341,15 @@ def nearest(
         "cells",
     )
     corners = [f(F.col("projected")[i]).alias(f"{name}{i}") for name, f in (("low", F.min), ("high", F.max)) for i in range(PROJECTED)]
-    # One row per cell, at most MAX_CELLS.
+    # One row per cell, at most MAX_CELLS of each width.
     boxes = points.groupBy("cell").agg(*corners).orderBy("cell").toPandas()
     cell_ids = boxes["cell"].to_numpy(dtype=np.int64)
     low = boxes[[f"low{i}" for i in range(PROJECTED)]].to_numpy(dtype=float)
     high = boxes[[f"high{i}" for i in range(PROJECTED)]].to_numpy(dtype=float)
+    # Cells of one width are neighbours in that order.
+    cell_range = {
+        width: slice(*np.searchsorted(cell_ids, [first, first + cells[width]])) for width, first in first_cell.items()
+    }
     quantile = chi_square_quantile(CONFIDENCE)
     columns = ["cell", "kind", "node", "first", "vector", "projected", "bound"]
     kept = valid.schema["vector"].dataType.simpleString()
@@ -332,34 +361,37 @@ def nearest(
         def run(batches):
             import pyarrow as pa
 
-            for batch in batches:
-                for at in range(0, batch.num_rows, BATCH):
-                    part = batch.slice(at, BATCH)
-                    gaps = _box_distances(float_matrix(part.column(2)), low, high)
-                    nearest_cell = gaps.argmin(axis=1)
-                    if home:
-                        row, cell = np.arange(part.num_rows), nearest_cell
-                    else:
-                        vectors = float_matrix(part.column(1))
-                        bound = part.column(3).to_numpy(zero_copy_only=False)
-                        radius = quantile * ((vectors * vectors).sum(axis=1) + longest - 2 * bound + SLACK * longest)
-                        passes = gaps <= radius[:, None]
-                        passes[np.arange(part.num_rows), nearest_cell] = False
-                        row, cell = np.nonzero(passes)
-                    rows = pa.Table.from_batches([part]).take(pa.array(row)).combine_chunks()
-                    size_ = len(row)
-                    arrays = [
-                        pa.array(cell_ids[cell]), pa.array(np.ones(size_, dtype=np.int32)), rows["node"],
-                        pa.array(np.zeros(size_, dtype=np.int64)), rows["vector"], rows["query"], rows["bound"],
-                    ]
-                    yield from pa.table(arrays, names=columns).to_batches()
+            for whole in batches:
+                for width, batch in _by_width(whole, 1):
+                    own = cell_range[width]
+                    for at in range(0, batch.num_rows, BATCH):
+                        part = batch.slice(at, BATCH)
+                        gaps = _box_distances(float_matrix(part.column(2)), low[own], high[own])
+                        nearest_cell = gaps.argmin(axis=1)
+                        if home:
+                            row, cell = np.arange(part.num_rows), nearest_cell
+                        else:
+                            vectors = float_matrix(part.column(1))
+                            bound = part.column(3).to_numpy(zero_copy_only=False)
+                            squares = (vectors * vectors).sum(axis=1)
+                            radius = quantile * (squares + (1 + SLACK) * norms[width] - 2 * bound)
+                            passes = gaps <= radius[:, None]
+                            passes[np.arange(part.num_rows), nearest_cell] = False
+                            row, cell = np.nonzero(passes)
+                        rows = pa.Table.from_batches([part]).take(pa.array(row)).combine_chunks()
+                        size_ = len(row)
+                        arrays = [
+                            pa.array(cell_ids[own][cell]), pa.array(np.ones(size_, dtype=np.int32)), rows["node"],
+                            pa.array(np.zeros(size_, dtype=np.int64)), rows["vector"], rows["query"], rows["bound"],
+                        ]
+                        yield from pa.table(arrays, names=columns).to_batches()
 
         return run
 
     def search(routed: DataFrame, name: str) -> DataFrame:
         rows = points.select(*columns).unionByName(routed)
         ordered = rows.repartition("cell").sortWithinPartitions("cell", "kind", "node")
-        found = ordered.mapInArrow(_searcher(longest, k + 1), "query long, node long, score double")
+        found = ordered.mapInArrow(_searcher(norms, k + 1), "query long, node long, score double")
         return materialize(found, name)
 
     best = Window.partitionBy("query").orderBy(F.desc("score"), "first")

@@ -61,6 +61,23 @@ def test_cells_leaves_and_lengths(spark, monkeypatch):
         assert all(abs(exact[i][j] - s) < 1e-9 for j, s in x if j in exact[i])
 
 
+def test_every_width_is_searched(spark, monkeypatch):
+    """Widths keep apart, the rarer ones in several cells too; copies and a lone width stay right."""
+    monkeypatch.setattr(ann, "CELL_ROWS", 32)
+    rng = np.random.default_rng(4)
+    widths = [8] * 300 + [4] * 120 + [5] * 3 + [2]
+    rows = [(i, rng.standard_normal(width).astype(np.float32).tolist()) for i, width in enumerate(widths)]
+    rows += [(1000 + i, v) for i, v in rows[300:340]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5, "vec_id")
+    wanted = {}
+    for width in (8, 4, 5, 2):
+        wanted |= plain([r for r in rows if len(r[1]) == width], lambda i: i % 3 == 0, 5)
+    found = result(ann.nearest(df, F.col("vec_id") % 3 == 0, k=5))
+    assert set(found) == set(wanted) and len(found[420]) == 2 and 423 not in found
+    assert all(len(found[i]) == len(x) for i, x in wanted.items())
+    assert recall(found, wanted) >= 0.9
+
+
 def test_copies_and_ties(spark):
     hot, other = [1.0, 0.0, 2.0, 0.0], [0.0, 1.0, 0.0, 0.0]
     rows = [(i, hot) for i in range(300, 0, -1)] + [(i, other) for i in range(301, 306)] + [(400, [0.5, 1.0, 0.0, 0.0])]
