@@ -57,8 +57,9 @@ from tabloom.operators.search import (
 )
 from tabloom.operators.split import DEVELOPMENT, TEST, split_manifest, stratified_split
 from tabloom.scratch import materialize, spread
+from tabloom.sources.claims import Claims
 from tabloom.sources.registry import ModelRegistry
-from tabloom.sources.tables import write_report
+from tabloom.sources.tables import read_or_empty, write_report
 
 FRACTIONS = (0.25, 0.50, 0.75)
 TEST_SIZE = 0.2
@@ -69,15 +70,6 @@ TRIAL_SCHEMA = (
 )
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def split_table(df: DataFrame, contract: TableContract, test_size: float = TEST_SIZE, seed: int = 42) -> DataFrame:
     """Written split of the modeling table, one folder per partition."""
     columns = [contract.identifier, *contract.features, *contract.protected, contract.label]
@@ -197,7 +189,7 @@ class Study:
         }
 
     def trials(self) -> DataFrame:
-        stored = _read_or_empty(self.spark, f"{self.store}/trials", TRIAL_SCHEMA)
+        stored = read_or_empty(self.spark, f"{self.store}/trials", TRIAL_SCHEMA)
         return stored.where(F.col("study") == self.name)
 
     def append(self, trial: int, params: Mapping[str, str], result: CrossValidation) -> float:
@@ -425,16 +417,15 @@ def finalize(
 ) -> FinalModel:
     """Evaluate the reviewed trial on the test rows once and register it as candidate.
 
-    The evaluation is recorded before the test rows are read: a crash later on
-    does not allow a second look.
+    The evaluation is claimed before the test rows are read: of runs at the same
+    time at most one evaluates, and a crash later on does not allow a second look.
     """
-    spark = study.spark
-    evaluated = _read_or_empty(spark, f"{study.store}/evaluations", "study string, trial bigint")
-    if not evaluated.isEmpty() and not allow_test_reevaluation:
-        raise ContractError("the test rows were already evaluated; do not reuse them for selection")
     best = reviewed_trial(study)
-    done = spark.createDataFrame([(study.name, best["trial"])], "study string, trial bigint")
-    done.write.mode("append").parquet(f"{study.store}/evaluations")
+    claims, owner = Claims(study.spark, f"{study.store}/evaluations"), f"{study.name}, trial {best['trial']}"
+    if not claims.take("test rows", owner):
+        if not allow_test_reevaluation:
+            raise ContractError("the test rows were already evaluated; do not reuse them for selection")
+        claims.repeat("test rows", owner)
     split = split_table(df, contract, seed=study.seed)
     final = fit_final(split, contract, best["params"], best["metrics"]["oof_threshold"], study.seed)
     metrics = {

@@ -19,7 +19,7 @@ from tabloom.contracts import (
 from tabloom.operators.quality import modeling_table
 
 SOURCE_URI = "table://events"
-SOURCE_SHA256 = "a" * 64
+SOURCE_SHA256, LATER_SHA256 = "a" * 64, "b" * 64
 
 MODEL_NAMES = ("logistic_regression", "random_forest", "gradient_boosting")
 STRATEGIES = ("all_ohe", "ordinal_aware")

@@ -3,6 +3,8 @@
 import hashlib
 import json
 import os
+import re
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -10,7 +12,7 @@ from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from tabloom.contracts import PEOPLE, ContractError
-from tabloom.sources import csv, manifests, registry, tables
+from tabloom.sources import claims, csv, manifests, registry, tables
 
 HEADER = ",".join(PEOPLE.raw_columns)
 ROW = ",".join(["value"] * len(PEOPLE.raw_columns))
@@ -158,6 +160,54 @@ def test_tables_and_reports(spark, tmp_path, people):
     assert text == '{"a":null,"b":1,"d":1.0}'
 
 
+def test_versions_lie_side_by_side(spark, tmp_path, people):
+    store = tables.VersionedTable(spark, str(tmp_path / "store"), "source_sha256")
+    a, b = "a" * 64, "b" * 64
+    with pytest.raises(ContractError, match="is stored"):
+        store.scan(a, ["enrollee_id"])
+    other = people.limit(7).withColumns({"source_sha256": F.lit(b), "extra": F.lit(1)})
+    assert store.publish(people, a) == 40 and store.publish(other, b) == 7
+    scan = store.scan(a, ["enrollee_id", "target", "source_sha256"])
+    assert sorted(scan.collect()) == sorted(people.select(scan.columns).collect())
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*table_version#\d+ = aaaa", plan)
+    assert "ReadSchema: struct<enrollee_id:bigint,target:bigint,source_sha256:string>" in plan
+    assert store.scan(b, ["extra"]).count() == 7
+    # A run that reads goes on with its copy while a later one replaces it.
+    store.publish(people.limit(3), a)
+    assert scan.count() == 40 and store.scan(a, ["enrollee_id"]).count() == 3
+    # Rows of another version, or none of them: nothing becomes visible.
+    with pytest.raises(ContractError, match="3 rows belong"):
+        store.publish(people.limit(3), b)
+    with pytest.raises(ContractError, match="missing|lack|column"):
+        store.publish(people.drop("source_sha256"), b)
+    with pytest.raises(ContractError, match="table_copy"):
+        store.publish(people.withColumn("table_copy", F.lit(1)), a)
+    assert store.publish(people.limit(0), "empty") == 0 and store.scan("empty", ["city"]).count() == 0
+    assert {r["version"]: r["rows"] for r in store.versions().collect()} == {a: 3, b: 7, "empty": 0}
+
+
+def test_one_of_many_runs_holds_a_claim(spark, tmp_path):
+    store = claims.Claims(spark, str(tmp_path / "claims"))
+    with ThreadPoolExecutor(4) as pool:
+        won = list(pool.map(lambda number: store.take("work", f"run {number}"), range(4)))
+    assert sum(won) == 1
+    holder = store.active("work").where("holds").collect()
+    assert [row["owner"] for row in holder] == [f"run {won.index(True)}"]
+    assert not store.take("work", "late") and store.take("other work", "late")
+    store.repeat("work", "again")
+    assert store.active("work").where("holds").count() == 2
+
+
+def test_a_dead_run_keeps_its_claim(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(claims, "WAIT", 0.0)
+    store = claims.Claims(spark, str(tmp_path / "claims"))
+    store._write("work", "dead", "1" * 32, claims.WANTED)
+    assert not store.take("work", "second")
+    store._write("work", "dead", "1" * 32, claims.WITHDRAWN)
+    assert store.take("work", "third")
+
+
 def model(number):
     return PipelineModel(stages=[SQLTransformer(statement=f"SELECT *, {number} AS probability FROM __THIS__")])
 
