@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.contracts import ContractError
+from tabloom.operators.digest import digests
 from tabloom.scratch import materialize
 
 BUCKET_DIGITS = 4
@@ -222,28 +223,14 @@ def stratified_folds(
     return _with_quotas(_assign(df, identifier, salt, output, fold), identifier, label, output, wanted)
 
 
-def id_digest(identifier: str) -> list[Column]:
-    """Order-independent fingerprint of a set of identifiers, as aggregates.
-
-    Sums of four 60-bit pieces of each identifier's SHA-256 are combined with
-    the row count.  The sums merge on the map side, so no task ever holds the
-    identifiers.
-    """
-    digest = F.sha2(F.col(identifier).cast("string"), 256)
-    pieces = [
-        F.sum(F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")) for i in range(4)
-    ]
-    text = F.concat_ws("-", F.count("*").cast("string"), *[piece.cast("string") for piece in pieces])
-    return [F.sha2(text, 256).alias("id_digest")]
-
-
 def split_manifest(df: DataFrame, identifier: str, label: str, split: str = "split") -> DataFrame:
-    """Rows, positives, rate and identifier fingerprint per partition."""
-    return df.groupBy(split).agg(
-        F.count("*").alias("rows"),
-        F.sum(F.col(label).cast("bigint")).alias("positive_rows"),
-        F.avg(F.col(label).cast("double")).alias("positive_rate"),
-        *id_digest(identifier),
+    """Rows, positives, rate and identifier digest per partition."""
+    y = F.col(label).cast("bigint")
+    sums = {"positive_rows": y, "__labelled": y.isNotNull().cast("bigint")}
+    return digests(df, F.col(identifier), [split], sums, "id_digest").select(
+        split, "rows", "positive_rows",
+        F.try_divide(F.col("positive_rows").cast("double"), F.col("__labelled").cast("double")).alias("positive_rate"),
+        "id_digest",
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tabloom.contracts import PEOPLE, ContractError
 from tabloom.functions.clean import binary_label, clean_text, remap, safe_double, safe_long
-from tabloom.operators import align, boosting, capacity, crossval, fairness, features, learners, prefix, quality, ranking, scoring, search, split
+from tabloom.operators import align, boosting, capacity, crossval, digest, fairness, features, learners, prefix, quality, ranking, scoring, search, split
 from tabloom.operators.lookup import left_lookup
 from tabloom.plans import modeling, views
 from tabloom.scratch import materialize, scratch_path
@@ -281,7 +281,29 @@ def split_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 def id_digest(spark: SparkSession, folder: str) -> DataFrame:
     orders = views.table(spark, folder, "orders")
-    return orders.groupBy("o_orderstatus").agg(*split.id_digest("o_orderkey"))
+    return digest.digests(orders, F.col("o_orderkey"), ["o_orderstatus"], output="id_digest")
+
+
+def differing_leaves(spark: SparkSession, folder: str) -> DataFrame:
+    """Where two versions of the lines differ, from their leaves alone: lines of one order in 1,000 are gone."""
+    lines = views.table(spark, folder, "lineitem").select("l_orderkey", "l_returnflag")
+    stored = materialize(digest.leaves(lines, F.col("l_orderkey"), ["l_returnflag"]), "leaves")
+    later = lines.where("l_orderkey % 1000 <> 0")
+    return digest.differing_leaves(stored, digest.leaves(later, F.col("l_orderkey"), ["l_returnflag"]), ["l_returnflag"])
+
+
+def folder_digest(spark: SparkSession, folder: str) -> DataFrame:
+    """Digest of a folder with one file per source, compared by value."""
+    path = scratch_path(spark, "folder")
+    per_source = views.table(spark, folder, "documents").groupBy(F.coalesce("source", F.lit("none")).alias("source")).agg(
+        F.count("*").alias("n"), F.sum("n_chars").alias("chars")
+    )
+    line = F.concat_ws(" ", "source", "n", "chars")
+    per_source.select("source", line.alias("value")).repartition("source").write.partitionBy("source").text(path)
+    files = csv.file_manifest(spark, path).where(F.col("size_bytes") > 0)
+    # Spark makes up file names; a file counts by its folder here.
+    named = files.withColumn("path", F.concat(F.lit(path + "/"), F.regexp_extract("path", "source=([^/]*)/", 1)))
+    return csv.folder_digest(named, path)
 
 
 def class_weights(spark: SparkSession, folder: str) -> DataFrame:
@@ -847,6 +869,8 @@ QUERIES: dict[str, Query] = {
     "split_disjoint": split_disjoint,
     "split_manifest": split_manifest,
     "id_digest": id_digest,
+    "differing_leaves": differing_leaves,
+    "folder_digest": folder_digest,
     "class_weights": class_weights,
     "median_impute": median_impute,
     "standard_scale": standard_scale,

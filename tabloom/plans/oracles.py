@@ -160,12 +160,28 @@ SELECT t.*, f.fold FROM (
 """
 
 
-def digest_sql(key: str) -> str:
-    pieces = ", ".join(
-        f"sum(('0x' || substr(sha256(CAST({key} AS VARCHAR)), {1 + 15 * i}, 15))::BIGINT::HUGEINT)::VARCHAR"
-        for i in range(4)
-    )
-    return f"sha256(concat_ws('-', count(*)::VARCHAR, {pieces}))"
+def leaves_sql(table: str, key: str, group: str, sums: str = "") -> str:
+    """Leaves of the hash tree over the keys of each group; ``sums`` are carried along."""
+    carried = "".join(f", sum({name})::BIGINT AS {name}" for name in sums.split())
+    return f"""
+SELECT {group}, substr(h, 1, 6) AS leaf, sum(n)::BIGINT AS n{carried}, sha256(string_agg(h || ':' || n, ',' ORDER BY h)) AS d
+FROM (
+  SELECT {group}, sha256(coalesce('=' || CAST({key} AS VARCHAR), '-')) AS h, count(*) AS n{carried}
+  FROM {table} GROUP BY ALL
+) GROUP BY ALL
+"""
+
+
+def digest_sql(table: str, key: str, group: str, sums: str = "") -> str:
+    """Rows, sums and digest of each group: leaves, the nodes above them, the root."""
+    carried = "".join(f", sum({name})::BIGINT AS {name}" for name in sums.split())
+    return f"""
+SELECT {group}, sum(n)::BIGINT AS "rows"{carried}, sha256(string_agg(node || ':' || d, ',' ORDER BY node)) AS digest
+FROM (
+  SELECT {group}, substr(leaf, 1, 3) AS node, sum(n) AS n{carried}, sha256(string_agg(leaf || ':' || d, ',' ORDER BY leaf)) AS d
+  FROM ({leaves_sql(table, key, group, sums)}) GROUP BY ALL
+) GROUP BY ALL
+"""
 
 
 # --- metrics ---------------------------------------------------------------
@@ -726,13 +742,30 @@ SELECT count(*) FILTER (failed_rows > 0) = 0 AS passed,
     "split_disjoint": f"SELECT count(*) AS identifiers, 0::BIGINT AS shared_identifiers FROM ({SCORED})",
     "split_manifest": with_tables(
         f"""
-SELECT split, count(*) AS rows, sum(y)::BIGINT AS positive_rows, round(avg(y), 6) AS positive_rate,
-       {digest_sql("enrollee_id")} AS id_digest
-FROM ({split_sql('s', 'enrollee_id', 'y', 0.2, 42)}) GROUP BY split
+SELECT split, "rows", y AS positive_rows, round(y / "rows", 6) AS positive_rate, digest AS id_digest
+FROM ({digest_sql(f"({split_sql('s', 'enrollee_id', 'y', 0.2, 42)})", "enrollee_id", "split", "y")})
 """,
         s=SCORED,
     ),
-    "id_digest": f"SELECT o_orderstatus, {digest_sql('o_orderkey')} AS id_digest FROM orders GROUP BY 1",
+    "id_digest": f"SELECT * RENAME (digest AS id_digest) FROM ({digest_sql('orders', 'o_orderkey', 'o_orderstatus')})",
+    "differing_leaves": f"""
+SELECT l_returnflag, leaf, coalesce(a.n, 0) AS left_rows, coalesce(b.n, 0) AS right_rows
+FROM ({leaves_sql('lineitem', 'l_orderkey', 'l_returnflag')}) a
+FULL JOIN ({leaves_sql('(SELECT * FROM lineitem WHERE l_orderkey % 1000 <> 0)', 'l_orderkey', 'l_returnflag')}) b
+USING (l_returnflag, leaf) WHERE a.d IS DISTINCT FROM b.d
+""",
+    "folder_digest": with_tables(
+        f"""
+SELECT "rows" AS files, size_bytes, digest FROM ({digest_sql('f', "name || chr(0) || sha256", "whole", "size_bytes")})
+""",
+        f="""
+SELECT 1 AS whole, source AS name, strlen(line)::BIGINT AS size_bytes, sha256(line) AS sha256
+FROM (
+  SELECT source, source || ' ' || count(*) || ' ' || sum(n_chars)::BIGINT || chr(10) AS line
+  FROM (SELECT coalesce(source, 'none') AS source, n_chars FROM documents) GROUP BY source
+)
+""",
+    ),
     "class_weights": f"""
 SELECT enrollee_id, y, round((SELECT count(*) FROM ({SCORED})) / (2.0 * count(*) OVER (PARTITION BY y)), 6) AS weight
 FROM ({SCORED})

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.contracts import ContractError, TableContract
+from tabloom.operators.digest import digests
 
 IN_MEMORY_BYTES = 256 * 1024 * 1024
 CHUNK_BYTES = 1024 * 1024
@@ -74,25 +75,17 @@ def _stream_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def folder_digest(files: DataFrame, root: str) -> DataFrame:
-    """One fingerprint of a folder: relative paths and content, in any order.
+    """One digest of a folder: relative paths and content, in any order.
 
-    Each file's path and hash are hashed together and the 60-bit pieces summed,
-    so any number of files merges without a sorted list in one task.  A root
-    that is a file counts by its name, so where it lies does not matter.
+    Each file is a key of a hash tree, so any number of files merges without a
+    sorted list in one task.  A root that is a file counts by its name, so where
+    it lies does not matter.
     """
     below = F.regexp_replace("path", "^.*" + _quote(root.rstrip("/")) + "(/|$)", "")
     relative = F.when(below == "", F.substring_index("path", "/", -1)).otherwise(below)
-    entry = F.sha2(F.concat_ws("\u0000", relative, F.col("sha256")), 256)
-    pieces = [
-        F.sum(F.conv(F.substring(entry, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")) for i in range(4)
-    ]
-    return files.agg(
-        F.count("*").alias("files"),
-        F.sum("size_bytes").alias("size_bytes"),
-        F.sha2(
-            F.concat_ws("-", F.count("*").cast("string"), *[piece.cast("string") for piece in pieces]), 256
-        ).alias("digest"),
-    )
+    entry = F.concat_ws("\u0000", relative, F.col("sha256"))
+    found = digests(files, entry, sums={"size_bytes": F.col("size_bytes")})
+    return found.select(F.col("rows").alias("files"), "size_bytes", "digest")
 
 
 def _quote(text: str) -> str:

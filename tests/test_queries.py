@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 FOLDER = "/root/testdata/sf0.001"
 #: Plans of these hold whole model fits, or Spark's own one-row tables.
 FITTED = {
-    "file_manifest", "cv_report", "final_report", "finalize_once", "model_info", "forest_report", "boosting_report", "score_batch",
+    "file_manifest", "folder_digest", "cv_report", "final_report", "finalize_once", "model_info", "forest_report", "boosting_report", "score_batch",
     "stream_score", "stream_requests", "boosting_splits", "csv_contract",
 }
 CORPUS = {name for name in entry.queries() if name == "pipeline" or name.startswith("op")}

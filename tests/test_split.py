@@ -75,13 +75,6 @@ def test_refusals(spark):
         split.stratified_folds(numbered(spark, 10, 3), "id", "y", folds=5)
 
 
-def test_digest_depends_on_the_set_only(spark):
-    ids = spark.range(100)
-    digest = ids.agg(*split.id_digest("id")).first()[0]
-    assert ids.orderBy(F.rand(1)).repartition(9).agg(*split.id_digest("id")).first()[0] == digest
-    assert spark.range(101).agg(*split.id_digest("id")).first()[0] != digest
-
-
 @pytest.mark.parametrize("ids", [[1] * 100, [None, *range(99)]])
 def test_identifiers_that_break_quotas_are_refused(spark, ids):
     df = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "id long, y int")
