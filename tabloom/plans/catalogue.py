@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tabloom.contracts import PEOPLE, ContractError
 from tabloom.functions.clean import binary_label, clean_text, remap, safe_double, safe_long
-from tabloom.operators import align, boosting, capacity, crossval, digest, fairness, features, learners, prefix, quality, ranking, scoring, search, split
+from tabloom.operators import align, boosting, capacity, crossval, digest, fairness, features, learners, prefix, quality, ranking, scoring, search, split, vocabulary
 from tabloom.operators.lookup import left_lookup
 from tabloom.plans import modeling, views
 from tabloom.scratch import materialize, scratch_path
@@ -383,6 +383,38 @@ def one_hot(spark: SparkSession, folder: str) -> DataFrame:
     return features.one_hot(people, ID, columns, words)
 
 
+#: Nominal columns of ``table_encoder`` and the rows that make a label frequent there.
+LINE_WORDS = {
+    "part": "CASE WHEN l_partkey % 50 <> 0 THEN CAST(l_partkey AS string) END",
+    "supplier": "CAST(l_suppkey AS string)",
+}
+LINE_MIN_FREQUENCY = 28
+
+
+def table_encoder(spark: SparkSession, folder: str) -> DataFrame:
+    """Sparse vectors of all lines over parts and suppliers; the labels stay in a table."""
+    lines = views.table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", *[F.expr(sql).alias(name) for name, sql in LINE_WORDS.items()]
+    )
+    categories = lines.unpivot([], list(LINE_WORDS), "feature", "category").groupBy("feature", "category")
+    counted = categories.agg(F.count("*").alias("n"))
+    words = materialize(features.vocabulary(counted, list(LINE_WORDS), LINE_MIN_FREQUENCY), "vocabulary")
+    rare = words.where("NOT frequent").select("feature").distinct().collect()  # one row per column
+    path, stored = vocabulary.store_vocabulary(words)
+    counts = {name: stored.get(name, 0) for name in LINE_WORDS}
+    has_rare = frozenset(row["feature"] for row in rare)
+    encoder = vocabulary.TableEncoder.of(["CAST(l_quantity AS DOUBLE)"], counts, has_rare, path, "vector")
+    parts = "v struct<size:int,indices:array<int>,values:array<double>>"
+    encoded = encoder.transform(lines).withColumn(
+        "v", F.from_json(F.to_json(F.struct(F.col("vector").alias("v"))), parts)["v"]
+    )
+    return encoded.select(
+        "l_orderkey", "l_linenumber", F.col("v.size").alias("size"),
+        F.array_join(F.col("v.indices").cast("array<string>"), ",").alias("places"),
+        F.col("v.values")[0].alias("first_value"),
+    )
+
+
 def feature_counts(spark: SparkSession, folder: str) -> DataFrame:
     return modeling.prepare(labelled_people(spark, folder), PEOPLE)
 
@@ -879,6 +911,7 @@ QUERIES: dict[str, Query] = {
     "ordinal_encode": ordinal_encode,
     "one_hot_vocab": one_hot_vocab,
     "one_hot": one_hot,
+    "table_encoder": table_encoder,
     "feature_counts": feature_counts,
     "feature_matrix": feature_matrix,
     "global_rank": rank_all,

@@ -14,6 +14,7 @@ from tabloom.contracts import (
     PEOPLE,
     RELEVANT_EXPERIENCE,
 )
+from tabloom.functions.clean import MISSING_GROUP
 from tabloom.operators import boosting
 from tabloom.operators.capacity import CURVE_FRACTIONS
 from tabloom.operators.learners import DESIGN_PARAMETERS
@@ -792,6 +793,29 @@ FROM documents, (SELECT avg(n_chars) AS mean, stddev_pop(n_chars) AS sd, median(
         ) + " FROM e, z",
         **LABELLED, o=f"SELECT {modes_sql()}", e=_CODED, z=_CODE_SCALING,
     ),
+    "table_encoder": with_tables(
+        """
+SELECT l_orderkey, l_linenumber, (1 + parts + rare_parts + suppliers + rare_suppliers)::INT AS size,
+       concat_ws(',', '0', coalesce(1 + p.place, CASE WHEN rare_parts = 1 THEN 1 + parts END),
+         coalesce(1 + parts + rare_parts + s.place, CASE WHEN rare_suppliers = 1 THEN 1 + parts + rare_parts + suppliers END)
+       ) AS places, l_quantity::DOUBLE AS first_value
+FROM t CROSS JOIN b LEFT JOIN w p ON p.feature = 'part' AND p.category = t.part
+LEFT JOIN w s ON s.feature = 'supplier' AND s.category = t.supplier
+""",
+        t="SELECT l_orderkey, l_linenumber, l_quantity, "
+        + ", ".join(f"coalesce({sql}, '{MISSING_GROUP}') AS {name}" for name, sql in catalogue.LINE_WORDS.items())
+        + " FROM lineitem",
+        c=" UNION ALL ".join(
+            f"SELECT '{name}' AS feature, {name} AS category, count(*) AS n FROM t GROUP BY ALL" for name in catalogue.LINE_WORDS
+        ),
+        w="SELECT feature, category, row_number() OVER (PARTITION BY feature ORDER BY category) - 1 AS place"
+        f" FROM c WHERE n >= {catalogue.LINE_MIN_FREQUENCY}",
+        b="SELECT " + ", ".join(
+            f"count(*) FILTER (feature = '{name}' AND n >= {catalogue.LINE_MIN_FREQUENCY}) AS {name}s,"
+            f" max(CASE WHEN feature = '{name}' AND n < {catalogue.LINE_MIN_FREQUENCY} THEN 1 ELSE 0 END) AS rare_{name}s"
+            for name in catalogue.LINE_WORDS
+        ) + " FROM c",
+    ),
     "one_hot_vocab": with_tables(words_sql(_ONE_HOT, 50), **LABELLED),
     "one_hot": with_tables(
         f"SELECT enrollee_id, name AS feature, 1.0::DOUBLE AS value FROM ({_ACTIVE}) WHERE name IS NOT NULL",
