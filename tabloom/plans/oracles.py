@@ -17,7 +17,6 @@ from tabloom.contracts import (
 from tabloom.functions.clean import MISSING_GROUP
 from tabloom.operators import boosting
 from tabloom.operators.capacity import CURVE_FRACTIONS
-from tabloom.operators.learners import DESIGN_PARAMETERS
 from tabloom.operators.scoring import MAX_REQUEST_ROWS
 from tabloom.operators.search import SEARCH_SPACE, SEARCH_SPACE_VERSION, STUDY_PREFIX, initial_designs
 from tabloom.plans import catalogue, views
@@ -615,7 +614,6 @@ _FINAL = "SELECT 'rows' AS metric, count(*)::DOUBLE AS value, true AS finite FRO
     )
 )
 _STUDY = f"{STUDY_PREFIX}-v{SEARCH_SPACE_VERSION}-{views.SOURCE_SHA256[:12]}-cv{catalogue.STUDY_FOLDS}"
-_DESIGN = 1 + initial_designs().index({name: catalogue.LOGISTIC[name] for name in DESIGN_PARAMETERS})
 _PARAMETERS = ",".join(sorted(f"{name}={value}" for name, value in catalogue.LOGISTIC.items()))
 
 _DOC_ENTRIES = """
@@ -636,8 +634,8 @@ SELECT {catalogue.FOLDS}::BIGINT AS cv_folds, count(*) AS development_rows, roun
     "final_report": with_tables(_FINAL, p=_LABELLED, t=_HELD_OUT),
     "finalize_once": with_tables(
         f"""
-SELECT 'people' AS name, 1::BIGINT AS version, 'candidate' AS alias, '{_STUDY}' AS study, {_DESIGN}::BIGINT AS trial,
-       'ordinal_aware_without_city' AS preprocessing, '{views.SOURCE_SHA256}' AS source_sha256,
+SELECT 'people' AS name, 1::BIGINT AS version, 'candidate' AS alias, '{_STUDY}' AS study,
+       '{views.SOURCE_SHA256}' AS source_sha256, true AS best_trial, true AS own_design,
        'capacity_curve,confusion_matrix,fairness_by_group,fairness_gaps,final_evaluation,model_selection_summary,'
        || 'precision_recall_curve,roc_curve,split_manifest' AS reports,
        {len(initial_designs())}::BIGINT AS trials, count(*)::DOUBLE AS test_rows,
