@@ -130,3 +130,34 @@ def test_one_class_gives_the_prior(spark):
     rows = frame(spark, [(i, [1.0, 2.0, float(i), 0.0], 0.0, 1.0) for i in range(20)])
     model = LeafwiseBooster(numTrees=3).fit(rows)
     assert model.trees == [] and model.transform(rows).first().probability[1] < 1e-9
+
+
+def test_passes_over_the_rows_read_blocks_not_rows(spark, monkeypatch):
+    written = {}
+
+    def kept(df, name):
+        written.setdefault(name, []).append(boosting_write(df, name))
+        return written[name][-1]
+
+    boosting_write = boosting.materialize
+    monkeypatch.setattr(boosting, "materialize", kept)
+    monkeypatch.setattr(boosting, "REWRITE", 1)
+    LeafwiseBooster(numTrees=2, numLeaves=3, subsample=0.9).fit(frame(spark, rows_of(1000)).coalesce(2))
+    # The rows once, and again with the first tree in their score; the last tree needs no third copy.
+    first, again = written["boosting-bins"]
+    assert first.count() <= 1000 / boosting.BLOCK + 2 and again.count() <= 1000 / boosting.BLOCK + 2
+    for name, size in (("bins", 4), ("label", 8), ("key", 8), ("score", 8)):
+        assert {t.agg(F.sum(F.octet_length(name))).first()[0] for t in (first, again)} == {1000 * size}
+
+
+def test_leaves_of_rows_in_an_uneven_tree():
+    import numpy as np
+
+    tree = boosting.Tree()
+    _, right = tree.split(0, 1, 3)
+    left, _ = tree.split(right, 0, 2)
+    tree.split(left, 1, 5)
+    bins = np.array([[0, 3], [9, 4], [2, 5], [2, 6]], dtype=np.uint8)
+    assert boosting.nodes_of(tree.plain(), bins).tolist() == [1, 4, 5, 6]
+    assert boosting.nodes_of(boosting.Tree().plain(), bins).tolist() == [0] * 4
+    assert boosting.nodes_of(tree.plain(), bins[:0]).tolist() == []
