@@ -31,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tabloom.operators.lookup import left_lookup
 from tabloom.operators.scoring import MAX_REQUEST_ROWS, REASONS, score_batch
-from tabloom.scratch import materialize
+from tabloom.scratch import deal, materialize
 
 #: What becomes of a request in a batch.
 COMPLETE, SIZE, LATE, OPEN = "complete", "request:size", "request:late", "open"
@@ -96,7 +96,7 @@ def score_request_stream(
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark, names = batch.sparkSession, batch.columns
         waiting = open_requests(spark, state, batch_id - 1, batch.schema)
-        rows = materialize(batch if waiting is None else batch.unionByName(waiting), "gathered")
+        rows = materialize(deal(batch if waiting is None else batch.unionByName(waiting)), "gathered")
         clocks = [rows.agg(F.max(arrived)).first()[0]]
         last = _version(spark, f"{state}/clock", batch_id, "clock timestamp")
         if last is not None:
@@ -109,9 +109,9 @@ def score_request_stream(
         spark.createDataFrame([(clock,)], "clock timestamp").write.mode("overwrite").parquet(f"{state}/clock/batch={batch_id}")
         # Rows without a request id are refused by the check of whole requests.
         whole = decided.where((F.col("fate") == COMPLETE) | F.col(request).isNull()).select(*names)
-        scored, rejected = score_batch(check(whole), model, request, input_index, maximum)
+        scored, rejected = score_batch(check(deal(whole)), model, request, input_index, maximum)
         unfit = decided.where(F.col("fate").isin(SIZE, LATE))
-        refused = check(unfit).withColumn(REASONS, F.array_append(REASONS, F.col("fate"))).drop("fate")
+        refused = check(deal(unfit)).withColumn(REASONS, F.array_append(REASONS, F.col("fate"))).drop("fate")
         out = rejected.unionByName(refused.select(*rejected.columns))
         out.write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
         scored.write.mode("overwrite").parquet(f"{scored_path}/batch={batch_id}")

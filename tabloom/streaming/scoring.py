@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tabloom.operators.scoring import score_batch
+from tabloom.scratch import deal
 
 
 def score_stream(
@@ -30,7 +31,7 @@ def score_stream(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        scored, rejected = score_batch(check(batch), model, request, input_index)
+        scored, rejected = score_batch(check(deal(batch)), model, request, input_index)
         rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
         scored.write.mode("overwrite").parquet(f"{scored_path}/batch={batch_id}")
 

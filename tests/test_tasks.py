@@ -1,13 +1,28 @@
 """Rows dealt over tasks by their number, not by the bytes of their files."""
 
+import json
+from datetime import datetime, timedelta
+
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from tabloom import scratch
 from tabloom.contracts import PEOPLE
+from tabloom.operators import scoring
 from tabloom.plans import catalogue, modeling
+from tabloom.streaming.requests import score_request_stream
+from tabloom.streaming.scoring import read_batches, score_stream
 from tests.conftest import PEOPLE_SCHEMA, people_rows
 
+CONTRACT = scoring.request_contract(PEOPLE, {"city": (6, 20)})
+GOOD = {
+    "city_development_index": 0.37, "city": "city_8", "relevant_experience": "No relevant experience",
+    "enrolled_university": "Part time course", "education_level": "High School", "major_discipline": "Arts",
+    "experience": "4", "company_size": "<10", "company_type": "NGO", "last_new_job": "3",
+}
+
 
 @pytest.fixture
 def short_tasks(monkeypatch):
@@ -40,6 +55,44 @@ def test_rows_of_a_fit_are_bounded_per_task(spark, short_tasks):
     assert max(per_task(scratch.spread(spark.range(0, 2000, 1, 8), 2000))) <= 60
 
 
+def formula():
+    return PipelineModel(stages=[SQLTransformer(statement="SELECT *, city_development_index AS probability FROM __THIS__")])
+
+
+def test_one_file_of_a_stream_is_checked_by_many_tasks(spark, short_tasks, tmp_path):
+    schema = "request_id int, input_index int, payload string, expected int, arrived timestamp"
+    tasks = []
+
+    def check(df):
+        tasks.append(df.rdd.getNumPartitions())
+        return scoring.parse_requests(df, "payload", CONTRACT)
+
+    rows = [(i // 4, i % 4, json.dumps(GOOD), 4, datetime(2024, 1, 1)) for i in range(400)]
+    source = str(tmp_path / "in")
+    spark.createDataFrame(rows, schema).coalesce(1).write.json(source)
+    paths = [str(tmp_path / name) for name in ("scored", "rejected", "checkpoint")]
+    stream = spark.readStream.schema(schema).json(source)
+    score_stream(stream, check, formula(), "request_id", "input_index", *paths).awaitTermination()
+    assert read_batches(spark, paths[0], "request_id int").count() == 400
+    assert tasks == [8]
+
+    tasks.clear()
+    paths = [str(tmp_path / name) for name in ("scored2", "rejected2", "state2", "checkpoint2")]
+    score_request_stream(
+        stream, check, formula(), "request_id", "input_index", "expected", "arrived", timedelta(hours=1), *paths
+    ).awaitTermination()
+    assert read_batches(spark, paths[0], "request_id int").count() == 400
+    assert tasks[0] >= 8
+
+
+def test_people_are_made_by_many_tasks(spark, short_tasks, tmp_path):
+    columns = "id AS event_id, id % 7 AS user_id, CASE WHEN id % 3 = 0 THEN 'purchase' ELSE 'view' END AS event_type"
+    spark.range(400).selectExpr(*columns.split(", ")).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    people = catalogue.labelled_people(spark, str(tmp_path))
+    assert people.count() == 400
+    assert len(people.select(F.input_file_name()).distinct().collect()) == 8
+
+
 def test_rows_of_a_final_fit_are_bounded_per_task(spark, short_tasks, monkeypatch):
     sizes = []
 
