@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tabloom import scratch
 from tabloom.contracts import PEOPLE
-from tabloom.operators import scoring
+from tabloom.operators import crossval, scoring
 from tabloom.plans import catalogue, modeling
 from tabloom.streaming.requests import score_request_stream
 from tabloom.streaming.scoring import read_batches, score_stream
@@ -93,6 +93,20 @@ def test_people_are_made_by_many_tasks(spark, short_tasks, tmp_path):
     assert len(people.select(F.input_file_name()).distinct().collect()) == 8
 
 
+def test_a_fold_is_encoded_once(spark, monkeypatch):
+    names = []
+
+    def kept(df, name, **settings):
+        names.append(name)
+        return scratch.materialize(df, name, **settings)
+
+    monkeypatch.setattr(crossval, "materialize", kept)
+    people = spark.createDataFrame(people_rows(60), PEOPLE_SCHEMA)
+    params = catalogue.LOGISTIC | {"min_category_frequency": "2"}
+    result = crossval.cross_validate_pipeline(people, PEOPLE, params, folds=3)
+    assert names.count("encoded") == 3 and result.scores.count() == 60
+
+
 def test_rows_of_a_final_fit_are_bounded_per_task(spark, short_tasks, monkeypatch):
     sizes = []
 
