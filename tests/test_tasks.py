@@ -119,3 +119,25 @@ def test_rows_of_a_final_fit_are_bounded_per_task(spark, short_tasks, monkeypatc
     split = modeling.split_table(spark.createDataFrame(people_rows(800), PEOPLE_SCHEMA), PEOPLE)
     final = modeling.fit_final(split, PEOPLE, catalogue.FOREST | {"rf_n_estimators": "2"}, 0.5)
     assert sum(sizes) == 640 and max(sizes) <= 60 and final.scores.count() == 160
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_labels_are_made_and_judged_after_the_deal(spark, short_tasks, tmp_path, monkeypatch):
+    kind = "CASE WHEN id % 3 = 0 THEN 'signup' WHEN id % 2 = 0 THEN 'error' ELSE 'view' END AS event_type"
+    events = spark.range(1000).selectExpr("id AS event_id", "id % 7 AS user_id", kind)
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    written = []
+
+    def keep(df, *rest):
+        written.append(df)
+        return scratch.materialize(df, *rest)
+
+    monkeypatch.setattr(catalogue, "materialize", keep)
+    found = {r.enrollee_id: r.target for r in catalogue.labelled_people(spark, str(tmp_path)).collect()}
+    plan = optimized(written[0])
+    assert "Repartition" in plan and "Filter" not in plan.split("Repartition", 1)[1]
+    unlabelled = {i for i in range(0, 1000, 101) if i % 3 and i % 2 == 0}
+    assert unlabelled and found == {i: int(i % 3 == 0) for i in range(1000) if i not in unlabelled}
