@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tabloom import scratch
 from tabloom.contracts import PEOPLE
 from tabloom.operators import crossval, scoring
+from tabloom.operators.quality import modeling_table
 from tabloom.plans import catalogue, modeling
 from tabloom.streaming.requests import score_request_stream
 from tabloom.streaming.scoring import read_batches, score_stream
@@ -141,3 +142,11 @@ def test_labels_are_made_and_judged_after_the_deal(spark, short_tasks, tmp_path,
     assert "Repartition" in plan and "Filter" not in plan.split("Repartition", 1)[1]
     unlabelled = {i for i in range(0, 1000, 101) if i % 3 and i % 2 == 0}
     assert unlabelled and found == {i: int(i % 3 == 0) for i in range(1000) if i not in unlabelled}
+
+
+def test_texts_are_trimmed_once(spark, tmp_path):
+    raw = spark.createDataFrame([tuple(" 1\u2003" for _ in PEOPLE.raw_columns)], PEOPLE.raw_schema)
+    raw.write.parquet(str(tmp_path / "raw"))
+    typed = modeling_table(spark.read.parquet(str(tmp_path / "raw")), PEOPLE, "uri", "a" * 64)
+    assert optimized(typed).count("trim(") == len(PEOPLE.raw_columns)
+    assert typed.select("enrollee_id", "city", "target").first() == (1, "1", 1)
