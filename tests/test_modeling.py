@@ -188,3 +188,23 @@ def test_tune_resumes_and_finalizes_once(spark, labelled, tmp_path):
     other = modeling.Study(spark, study.store, "a" * 64, cv_folds=3, seed=7)
     with pytest.raises(ContractError, match="random_state"):
         modeling.tune(labelled, PEOPLE, other, target_trials=14, evaluate=evaluate)
+
+
+def test_rows_of_a_final_fit_are_dealt_once(spark, people, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def noted(value):
+        seen.add(1)
+        return value
+
+    spread, asked = modeling.spread, []
+
+    def noting(rows, n):
+        asked.append(n)
+        name = "city_development_index"
+        return spread(rows.withColumn(name, noted.asNondeterministic()(F.col(name))), n)
+
+    monkeypatch.setattr(modeling, "spread", noting)
+    modeling.fit_final(modeling.split_table(people, PEOPLE), PEOPLE, LOGISTIC, 0.5)
+    assert [seen.value] == asked

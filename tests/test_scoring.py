@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tabloom.contracts import PEOPLE, ContractError
 from tabloom.operators import scoring
 from tabloom.operators.learners import positive_probability
+from tabloom.plans import catalogue
+from tabloom.scratch import deal
 from tabloom.streaming.requests import open_requests, score_request_stream
 from tabloom.streaming.scoring import read_batches, score_stream
 
@@ -201,6 +203,23 @@ def test_requests_in_several_batches(spark, tmp_path):
     assert left.count() == 0
 
 
+def test_events_are_dealt_before_requests_are_made(spark, tmp_path, monkeypatch):
+    spark.range(40).selectExpr(
+        "id AS event_id", "id % 7 AS user_id", "'view' AS event_type", "repeat('x', 50) AS props"
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    dealt = []
+
+    def note(batch):
+        dealt.append(batch.columns)
+        return deal(batch)
+
+    monkeypatch.setattr("tabloom.streaming.scoring.deal", note)
+    monkeypatch.setattr(catalogue, "_registered_model", lambda *args: formula())
+    fates = catalogue.stream_score(spark, str(tmp_path))
+    assert sorted(row.event_id for row in fates.collect()) == list(range(40))
+    assert dealt == [["event_id", "user_id"]]
+
+
 def test_one_row_is_a_batch(spark):
     df = spark.createDataFrame([(0, 0, 0.25)], "request_id int, input_index int, city_development_index double")
     row = scoring.score_batch(df, formula(), "request_id", "input_index")[0].first()
